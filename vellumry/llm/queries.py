@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumry.llm import packing, repeats, tokens
+from vellumry.llm import packing, repeats, scans, tokens
 from vellumry.scale import table
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.faults(table(spark, sf_dir, "ocr_words"))
+
+
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.paragraphs(table(spark, sf_dir, "ocr_words"))
+
+
+def p5_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.contexts(table(spark, sf_dir, "error_entries"), table(spark, sf_dir, "ocr_words"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
@@ -43,7 +55,7 @@ SELECT DISTINCT l.s AS source_document, l.p AS page_number, l.n AS line_number F
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p4_pages": p4_pages, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
+    return {"p4_found": p4_found, "p4_pages": p4_pages, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p5_contexts": p5_contexts, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
 
 
 def oracle_sql() -> dict[str, str]:

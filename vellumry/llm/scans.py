@@ -34,6 +34,8 @@ SAMPLE_PAGES = 2000
 CUT_MARKS = "-¬‐­=‑~"
 _CUT_END = "[" + "".join("\\" + m if m in "-~" else m for m in CUT_MARKS) + "]$"
 NUMBER = re.compile(r"^[^\w]*(?:[^\W\d_]{1,5}\.?\s*)?(?:[\dlOoSBIZ]{1,6}|[ivxlcdm]{1,9}|[IVXLCDM]{1,9})(?:[rv])?[^\w]*$")
+#: Words of a heading that belong to its page number.
+NUMBERED = re.compile(r"^[^\w]*(?:(?:p|pp|fol|page|f|leaf|folio|no)\.?|[\dlOoSBIZ]+[rv]?|[ivxlcdm]+|[IVXLC]+)[^\w]*$", re.I)
 DIGITS = re.compile(r"\d")
 EDGES = ".,;:!?\"()[]“”"
 #: The start values weigh as much as so many pages.
@@ -46,7 +48,7 @@ def shape_of(words: list[str]) -> int:
     text = " ".join(words)
     if len(words) <= 4 and NUMBER.match(text) and (DIGITS.search(text) or len(words) == 1 or not any(ch.isalpha() and len(w) > 4 for w in words for ch in w)) and not re.match(r"^\d{1,3}(,\d{3})+$", text):
         return 0
-    named = [w for w in words if re.search(r"[^\W\d_]{2}", w) and not re.match(r"^(?:p|pp|fol|page|f|leaf|folio|no)\.?$", w, re.I)]
+    named = [w for w in words if re.search(r"[^\W\d_]{2}", w) and not NUMBERED.match(w)]
     if (len(named) >= 2 or len(named) == 1 and len(named[0]) >= 4) and all(w[0].isupper() or not w[0].isalpha() for w in named) and not re.search(r"[.,;:]$|[.,;] ", " ".join(named)):
         return 1
     return 2
@@ -63,7 +65,9 @@ def start_values() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     move = np.array([[0.0, 0.2, 0.8, 0.0], [0.4, 0.0, 0.6, 0.0], [0.0, 0.06, 0.93, 0.01], [0.0, 0.0, 1.0, 0.0]])
     shape = np.array([[0.0, 1.0, 0.0], [1.0, 0.0, 0.0], [0.002, 0.002, 0.996], [0.0, 1.0, 0.0]])
     place = np.array([[0.7, 0.3, 0.0, 0.0], [0.4, 0.15, 0.45, 0.0], [0.04, 0.06, 0.05, 0.85], [0.0, 0.01, 0.04, 0.95]])
-    return begin, move, (shape[:, :, None] * place[:, None, :]).reshape(len(STATES), -1)
+    emit = shape[:, :, None] * place[:, None, :]
+    emit[2, 0, :3] = 0.0  # a line of one number in the text stands among text lines
+    return begin, move, emit.reshape(len(STATES), -1)
 
 
 def fit(sequences: list[list[int]], rounds: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
