@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumry.llm import packing, repeats, scans, tokens
+from vellumry.llm import levels, packing, repeats, scans, tokens
 from vellumry.scale import table
 
 
@@ -43,6 +43,22 @@ def p4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "ocr_lines"))
 
 
+def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return levels.levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "graded_passages"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _levels(spark, sf_dir).select("doc_id", "band")
+
+
+def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return levels.profile(_levels(spark, sf_dir))
+
+
+def p9_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return levels.word_difficulty(table(spark, sf_dir, "documents"), table(spark, sf_dir, "graded_passages"))
+
+
 #: All pairs of texts of a source, by brute force.
 P4_SQL = r"""
 WITH l AS (SELECT DISTINCT source_document AS s, page_number AS p, line_number AS n, lower(regexp_replace(content, '[^\p{L}]', '', 'g')) AS f FROM ocr_lines
@@ -55,7 +71,7 @@ SELECT DISTINCT l.s AS source_document, l.p AS page_number, l.n AS line_number F
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p4_pages": p4_pages, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p5_contexts": p5_contexts, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
+    return {"p4_found": p4_found, "p4_pages": p4_pages, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p5_contexts": p5_contexts, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_profile": p9_profile, "p9_words": p9_words}
 
 
 def oracle_sql() -> dict[str, str]:
