@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumry.scale import lag_in_groups
+from vellumry.scale import lag_in_groups, materialise
 
 TARGET = T.StructType(
     [
@@ -267,6 +267,7 @@ def changes(records: DataFrame, key: str = "error_id") -> DataFrame:
     Files of a series are put in order at day level first, so that no task sees a whole series; each comparison gets the
     records of two files.
     """
+    records = materialise(records.select("file_id", "series", "exported_at", key, "observed"), "records")  # each file is parsed once
     files = records.select("file_id", "series", "exported_at").distinct()
     order = lag_in_groups(files, "series", "exported_at", ["file_id"], ["file_id"], F.to_date("exported_at"))
     pairs = order.where("prev_file_id is not null").select("file_id", "prev_file_id")

@@ -108,25 +108,33 @@ def _bucket(offset: Column, level: Column) -> Column:
     return out.cast("long")
 
 
-def words_to_lines(reads: DataFrame) -> DataFrame:
-    """``read_id, page_index, word_index, line_index`` of every word.
+def covering(words: DataFrame, spans: DataFrame) -> DataFrame:
+    """``words`` with the columns ``line_index`` of every span that holds their offset; null where none does.
 
-    A range join within the page, by buckets of offsets: a span stands in the one or two buckets that it touches at the
-    width chosen by its length, a word looks only into the widths that its page has. Line -1: the word has no span, or no
-    line's span holds its offset. Of several lines the last in the array wins.
+    ``words`` has read_id, page_index, span_offset; ``spans`` read_id, page_index, line_index, offset, length. A range join
+    within the page, by buckets of offsets: a span stands in the one or two buckets that it touches at the width chosen by
+    its length, a word looks only into the widths that its page has.
     """
-    nodes = shred(latest(reads), "read_id", ["pages"], {"pages.words.span.offset", "pages.lines.spans.offset", "pages.lines.spans.length"})
-    page = index_in(F.col("node"), "pages").alias("page_index")
-    words = entities(nodes, "read_id", "words", {"span.offset": "bigint"}).select("read_id", page, F.col("ordinal").cast("long").alias("word_index"), "span_offset")
-    spans = entities(nodes, "read_id", "spans", {"offset": "bigint", "length": "bigint"}).where("length > 0 and offset is not null")
     ends = F.col("offset") + F.col("length")
-    spans = spans.select("read_id", page, index_in(F.col("node"), "lines").alias("line_index"), "offset", ends.alias("end"), _level(F.col("length")).alias("level"))
+    spans = spans.where("length > 0 and offset is not null").select("read_id", "page_index", "line_index", "offset", ends.alias("end"), _level(F.col("length")).alias("level"))
     at = F.array_distinct(F.array(_bucket(F.col("offset"), F.col("level")), _bucket(F.col("end") - 1, F.col("level"))))
     keyed = spans.select("*", F.explode(at).alias("bucket"))
     levels = spans.groupBy("read_id", "page_index").agg(F.collect_set("level").alias("levels"))
     same_page = F.col("w.read_id").eqNullSafe(F.col("v.read_id")) & (F.col("w.page_index") == F.col("v.page_index"))
-    w = words.alias("w").join(levels.alias("v"), same_page, "left").select("w.*", F.explode_outer("v.levels").alias("level"))
-    w = w.withColumn("bucket", _bucket(F.col("span_offset"), F.col("level")))
-    k = keyed.select(F.col("read_id").alias("k_read"), F.col("page_index").alias("k_page"), F.col("line_index"), F.col("offset"), F.col("end"), F.col("level").alias("k_level"), F.col("bucket").alias("k_bucket"))
-    on = F.col("read_id").eqNullSafe(F.col("k_read")) & (F.col("page_index") == F.col("k_page")) & (F.col("level") == F.col("k_level")) & (F.col("bucket") == F.col("k_bucket")) & (F.col("span_offset") >= F.col("offset")) & (F.col("span_offset") < F.col("end"))
-    return w.join(k, on, "left").groupBy("read_id", "page_index", "word_index").agg(F.coalesce(F.max("line_index"), F.lit(-1)).cast("long").alias("line_index"))
+    w = words.alias("w").join(levels.alias("v"), same_page, "left").select("w.*", F.explode_outer("v.levels").alias("_level"))
+    w = w.withColumn("_bucket", _bucket(F.col("span_offset"), F.col("_level")))
+    k = keyed.select(F.col("read_id").alias("k_read"), F.col("page_index").alias("k_page"), F.col("line_index"), F.col("offset").alias("k_offset"), F.col("end").alias("k_end"), F.col("level").alias("k_level"), F.col("bucket").alias("k_bucket"))
+    on = F.col("read_id").eqNullSafe(F.col("k_read")) & (F.col("page_index") == F.col("k_page")) & (F.col("_level") == F.col("k_level")) & (F.col("_bucket") == F.col("k_bucket")) & (F.col("span_offset") >= F.col("k_offset")) & (F.col("span_offset") < F.col("k_end"))
+    return w.join(k, on, "left").select(*words.columns, "line_index")
+
+
+def words_to_lines(reads: DataFrame) -> DataFrame:
+    """``read_id, page_index, word_index, line_index`` of every word.
+
+    Line -1: the word has no span, or no line's span holds its offset. Of several lines the last in the array wins.
+    """
+    nodes = shred(latest(reads), "read_id", ["pages"], {"pages.words.span.offset", "pages.lines.spans.offset", "pages.lines.spans.length"})
+    page = index_in(F.col("node"), "pages").alias("page_index")
+    words = entities(nodes, "read_id", "words", {"span.offset": "bigint"}).select("read_id", page, F.col("ordinal").cast("long").alias("word_index"), "span_offset")
+    spans = entities(nodes, "read_id", "spans", {"offset": "bigint", "length": "bigint"}).select("read_id", page, index_in(F.col("node"), "lines").alias("line_index"), "offset", "length")
+    return covering(words, spans).groupBy("read_id", "page_index", "word_index").agg(F.coalesce(F.max("line_index"), F.lit(-1)).cast("long").alias("line_index"))
