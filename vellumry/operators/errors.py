@@ -56,7 +56,11 @@ def flag_words(words: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 def flag_patterns(context: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
     """Every match of a text pattern, with its line and its offset in the page's text."""
     patterns = patterns or PATTERNS
-    found = F.concat(*[F.transform(text.match_offsets(F.col("line_text"), p), lambda o, i=i, k=k, p=p: F.struct(F.lit(4 + i).alias("rule_rank"), F.lit(k).alias("error_type"), F.lit(p).alias("error"), o.alias("at"))) for i, (k, p) in enumerate(patterns.items())])
+
+    def matches(rank: int, kind: str, literal: str) -> Column:
+        return F.transform(text.match_offsets(F.col("line_text"), literal), lambda o: F.struct(F.lit(rank).alias("rule_rank"), F.lit(kind).alias("error_type"), F.lit(literal).alias("error"), o.alias("at")))
+
+    found = F.concat(*[matches(4 + i, kind, literal) for i, (kind, literal) in enumerate(patterns.items())])
     return ln.line_bases(context).select("*", F.explode(found).alias("m")).select("*", "m.*", (F.col("base") + F.col("m.at")).alias("character_number")).drop("m", "at", "base")
 
 

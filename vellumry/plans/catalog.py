@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumry.plans import data_queries
+from vellumry.plans import data_queries, word_queries
 
-MODULES = [data_queries]
+MODULES = [word_queries, data_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
