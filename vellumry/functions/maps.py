@@ -25,11 +25,14 @@ def empty_record() -> Column:
 
 def with_new_names(record: Column) -> Column:
     """Polygons under an old name are shown under the new one too, if there are none yet; old keys stay."""
+    def shown(r: Column, old: str, new: str) -> Column:
+        take = (F.size(F.coalesce(r[old], _none())) > 0) & (F.size(F.coalesce(r[new], _none())) == 0)
+        rest = F.map_filter(r, lambda k, _: k != new)
+        return F.when(take, F.map_concat(rest, F.create_map(F.lit(new), r[old]))).otherwise(r)
+
     out = record
     for old, new in LEGACY.items():
-        take = (F.size(F.coalesce(out[old], _none())) > 0) & (F.size(F.coalesce(out[new], _none())) == 0)
-        rest = F.map_filter(out, lambda k, _, new=new: k != new)
-        out = F.when(take, F.map_concat(rest, F.create_map(F.lit(new), out[old]))).otherwise(out)
+        out = shown(out, old, new)
     return out
 
 

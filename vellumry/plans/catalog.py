@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumry.plans import data_queries, word_queries
+from vellumry.plans import data_queries, page_queries, word_queries
 
-MODULES = [word_queries, data_queries]
+MODULES = [word_queries, page_queries, data_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
