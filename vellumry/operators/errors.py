@@ -46,11 +46,10 @@ def word_rules(low: float = LOW_CONFIDENCE, small: float = SMALL_RATIO, hotwords
 
 
 def flag_words(words: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """``words`` once for each rule that holds, with ``rule_rank`` and ``error_type``."""
+    """``words`` (with the page's ``median_height``) once for each rule that holds, with ``rule_rank`` and ``error_type``."""
     rules = rules or word_rules()
-    measured = words.join(ln.upper_median_height(words), ln.PAGE)
     hits = F.array_compact(F.array(*[F.when(r.holds, F.struct(F.lit(r.rank).alias("rule_rank"), r.kind.alias("error_type"))) for r in rules]))
-    return measured.select("*", F.explode(hits).alias("_hit")).select("*", "_hit.*").drop("_hit", "median_height")
+    return words.select("*", F.explode(hits).alias("_hit")).select("*", "_hit.*").drop("_hit", "median_height")
 
 
 def flag_patterns(context: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
@@ -70,10 +69,9 @@ RECORD = ["error_type", "source_document", "page_number", "line_number", "word_n
 def error_rows(words: DataFrame) -> DataFrame:
     """All error records, before they are numbered, with what orders them."""
     lined = ln.group_lines(words)
-    context = ln.line_context(lined)
-    flagged = flag_words(lined).join(context.drop("words"), [*ln.PAGE, "line"])
+    flagged = flag_words(ln.with_context(lined))
     by_word = flagged.select("error_type", *ln.PAGE, F.col("line").cast("long").alias("line_number"), F.col("pos").cast("long").alias("word_number"), F.col("span_offset").alias("character_number"), "line_text", F.col("content").alias("error"), "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1", F.col("x0").alias("err_x0"), F.col("y0").alias("err_y0"), F.col("x1").alias("err_x1"), F.col("y1").alias("err_y1"), "rule_rank", F.col("seq").cast("long").alias("in_rule"))
-    by_text = flag_patterns(context).select("error_type", *ln.PAGE, F.col("line").cast("long").alias("line_number"), F.lit(-1).cast("long").alias("word_number"), F.col("character_number").cast("long").alias("character_number"), "line_text", "error", "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1", F.col("ctx_x0").alias("err_x0"), F.col("ctx_y0").alias("err_y0"), F.col("ctx_x1").alias("err_x1"), F.col("ctx_y1").alias("err_y1"), "rule_rank", F.col("character_number").cast("long").alias("in_rule"))
+    by_text = flag_patterns(ln.line_context(lined)).select("error_type", *ln.PAGE, F.col("line").cast("long").alias("line_number"), F.lit(-1).cast("long").alias("word_number"), F.col("character_number").cast("long").alias("character_number"), "line_text", "error", "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1", F.col("ctx_x0").alias("err_x0"), F.col("ctx_y0").alias("err_y0"), F.col("ctx_x1").alias("err_x1"), F.col("ctx_y1").alias("err_y1"), "rule_rank", F.col("character_number").cast("long").alias("in_rule"))
     return by_word.unionByName(by_text)
 
 

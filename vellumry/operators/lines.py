@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumry.functions.geometry import center
@@ -14,55 +12,82 @@ Y_THRESHOLD_IN = 0.12
 PAGE = ["source_document", "page_number"]
 
 
-def distinct_words(words: DataFrame) -> DataFrame:
-    """One row for each word of a page, with ``seq``, its 0-based place in reading order as delivered.
+KEY = [*PAGE, "line_number", "word_number"]
+REST = ["content", "confidence", "span_offset", "span_length", "x0", "y0", "x1", "y1"]
+
+
+def page_words(words: DataFrame) -> DataFrame:
+    """One row for each page: ``at``, its words in reading order as delivered. The only shuffle that lines need.
 
     Rows delivered twice fall together; of unlike contents for one place the least by value is kept. Rows without a key
     or a box are left out.
     """
-    key = ["source_document", "page_number", "line_number", "word_number"]
-    rest = ["content", "confidence", "span_offset", "span_length", "x0", "y0", "x1", "y1"]
-    whole = words.where(" and ".join(f"{c} is not null" for c in [*key, "x0", "y0", "x1", "y1"]))
-    one = whole.groupBy(*key).agg(F.min(F.struct(*rest)).alias("w")).select(*key, "w.*")
-    seq = F.row_number().over(Window.partitionBy(*PAGE).orderBy("line_number", "word_number")) - 1
-    return one.withColumn("seq", seq)
+    whole = words.where(" and ".join(f"{c} is not null" for c in [*KEY, "x0", "y0", "x1", "y1"]))
+    pages = whole.groupBy(*PAGE).agg(F.sort_array(F.collect_set(F.struct("line_number", "word_number", *REST))).alias("all"))
+    place = lambda w: F.struct(w["line_number"], w["word_number"])
+    first = lambda w, i: (i == 0) | (place(F.get("all", i - 1)) != place(w))
+    return pages.select(*PAGE, F.filter("all", first).alias("at"))
+
+
+def distinct_words(words: DataFrame) -> DataFrame:
+    """One row for each word of a page, with ``seq``, its 0-based place in reading order as delivered."""
+    return page_words(words).select(*PAGE, F.posexplode("at").alias("seq", "w")).select(*PAGE, "w.*", "seq")
+
+
+def fold_lines(threshold: float = Y_THRESHOLD_IN):
+    """Line numbers from 1 for the sorted centres of a page's words.
+
+    A word joins the current line while its centre lies within the threshold of the mean of the line so far.
+    """
+
+    @F.pandas_udf("array<int>")
+    def fold(centres: pd.Series) -> pd.Series:
+        made = []
+        for ys in centres:
+            lines, line, n, mean = [], 0, 0, 0.0
+            for y in ys.tolist():
+                if n and abs(y - mean) <= threshold:
+                    n += 1
+                    mean = (mean * (n - 1) + y) / n
+                else:
+                    line, n, mean = line + 1, 1, y
+                lines.append(line)
+            made.append(lines)
+        return pd.Series(made)
+
+    return fold
 
 
 def group_lines(words: DataFrame, threshold: float = Y_THRESHOLD_IN) -> DataFrame:
-    """``words`` with ``line`` and ``pos``, both from 1.
+    """Words with ``seq``, their ``line`` and ``pos`` in it, both from 1, and the page's ``median_height``.
 
-    Words are taken by height of centre; one joins the current line while its centre lies within the threshold of the mean
-    of the line so far. Within a line words stand by centre from the left. The fold needs a page at a time, and gets its
-    words sorted; many pages go to Python in one batch.
+    Words are taken by height of centre, then from the left; within a line they stand by centre from the left. Only the
+    centres go to Python, a list for each page; everything after stays partitioned by page.
     """
-    w = words.withColumns({"_yc": center(F.col("y0"), F.col("y1")), "_xc": center(F.col("x0"), F.col("x1"))})
-    pages = w.groupBy(*PAGE).agg(F.sort_array(F.collect_list(F.struct("_yc", "_xc", "seq"))).alias("at")).select(*PAGE, F.col("at._yc").alias("yc"), F.col("at.seq").alias("seqs"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            made = []
-            for ys in pdf["yc"]:
-                lines, line, n, mean = [], 0, 0, 0.0
-                for y in ys.tolist():
-                    if n and abs(y - mean) <= threshold:
-                        n += 1
-                        mean = (mean * (n - 1) + y) / n
-                    else:
-                        line, n, mean = line + 1, 1, y
-                    lines.append(line)
-                made.append(lines)
-            yield pd.DataFrame({"source_document": pdf["source_document"].astype("object"), "page_number": pdf["page_number"], "seqs": pdf["seqs"], "lines": made})
-
-    folded = pages.mapInPandas(run, "source_document string, page_number long, seqs array<int>, lines array<int>")
-    each = folded.select(*PAGE, F.explode(F.arrays_zip("seqs", "lines")).alias("z")).select(*PAGE, F.col("z.seqs").alias("seq"), F.col("z.lines").alias("line"))
-    pos = F.row_number().over(Window.partitionBy(*PAGE, "line").orderBy("_xc", "_yc", "seq"))
-    return w.join(each, [*PAGE, "seq"]).withColumn("pos", pos).drop("_yc", "_xc")
+    sorted_ = F.array_sort(F.transform("at", lambda w, i: F.struct(center(w["y0"], w["y1"]).alias("yc"), center(w["x0"], w["x1"]).alias("xc"), i.alias("seq"))))
+    pages = page_words(words).withColumn("o", sorted_).withColumn("lines", fold_lines(threshold)(F.col("o.yc")))
+    word = lambda o, i: F.struct(F.get("at", o["seq"]).alias("w"), o["seq"].alias("seq"), o["yc"].alias("yc"), o["xc"].alias("xc"), F.get("lines", i).alias("line"))
+    each = pages.select(*PAGE, _upper_median("at").alias("median_height"), F.explode(F.transform("o", word)).alias("x")).select(*PAGE, "median_height", "x.w.*", "x.seq", "x.yc", "x.xc", "x.line")
+    pos = F.row_number().over(Window.partitionBy(*PAGE, "line").orderBy("xc", "yc", "seq"))
+    return each.withColumn("pos", pos).drop("yc", "xc")
+
+
+def _text(at: Column) -> Column:
+    return F.array_join(F.transform(F.array_sort(at), lambda s: s["content"]), " ")
+
+
+CONTEXT = ["line_text", "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1"]
+
+
+def with_context(lined: DataFrame) -> DataFrame:
+    """``lined`` with the text and box of each word's line, without another shuffle."""
+    line = Window.partitionBy(*PAGE, "line")
+    return lined.withColumns({"line_text": _text(F.collect_list(F.struct("pos", "content")).over(line)), "ctx_x0": F.min("x0").over(line), "ctx_y0": F.min("y0").over(line), "ctx_x1": F.max("x1").over(line), "ctx_y1": F.max("y1").over(line)})
 
 
 def line_context(lined: DataFrame) -> DataFrame:
     """Text and box of each line."""
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "content"))), lambda s: s["content"]), " ")
-    return lined.groupBy(*PAGE, "line").agg(text.alias("line_text"), F.min("x0").alias("ctx_x0"), F.min("y0").alias("ctx_y0"), F.max("x1").alias("ctx_x1"), F.max("y1").alias("ctx_y1"), F.count("*").alias("words"))
+    return lined.groupBy(*PAGE, "line").agg(_text(F.collect_list(F.struct("pos", "content"))).alias("line_text"), F.min("x0").alias("ctx_x0"), F.min("y0").alias("ctx_y0"), F.max("x1").alias("ctx_x1"), F.max("y1").alias("ctx_y1"), F.count("*").alias("words"))
 
 
 def line_bases(context: DataFrame) -> DataFrame:
@@ -71,7 +96,11 @@ def line_bases(context: DataFrame) -> DataFrame:
     return context.withColumn("base", F.coalesce(F.sum(F.length("line_text") + 1).over(before), F.lit(0)))
 
 
+def _upper_median(at: str) -> Column:
+    h = F.array_sort(F.transform(at, lambda w: w["y1"] - w["y0"]))
+    return F.element_at(h, F.floor(F.size(h) / 2).cast("int") + 1)
+
+
 def upper_median_height(words: DataFrame) -> DataFrame:
     """The page's word height in the middle of the sorted list, the upper one of two."""
-    h = F.array_sort(F.collect_list(F.col("y1") - F.col("y0")))
-    return words.groupBy(*PAGE).agg(h.alias("h")).select(*PAGE, F.element_at("h", F.floor(F.size("h") / 2).cast("int") + 1).alias("median_height"))
+    return page_words(words).select(*PAGE, _upper_median("at").alias("median_height"))

@@ -23,15 +23,14 @@ def gray(first: Column, second: Column, third: Column) -> Column:
     return F.transform(both, lambda p: F.bround(p["a"] * F.lit(0.114) + p["b"] * F.lit(0.587) + p["c"] * F.lit(0.299)).cast("int"))
 
 
-def median3(image: Column, width: int, height: int) -> Column:
+def median3(images: DataFrame, key: str, width: int, height: int) -> DataFrame:
     """Median of the 3 x 3 neighbourhood, border values repeated."""
 
-    def around(i: Column) -> Column:
-        y, x = F.floor(i / width).cast("int"), i % width
-        near = [F.get(image, F.least(F.lit(height - 1), F.greatest(F.lit(0), y + dy)) * width + F.least(F.lit(width - 1), F.greatest(F.lit(0), x + dx))) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
-        return F.get(F.array_sort(F.array(*near)), 4)
+    def kernel(a: np.ndarray, _) -> np.ndarray:
+        wide = np.pad(a, 1, mode="edge")
+        return np.median(np.stack([wide[y : y + height, x : x + width] for y in range(3) for x in range(3)]), axis=0)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(width * height - 1)), around)
+    return per_image(images, key, width, height, kernel)
 
 
 def contrast(image: Column) -> Column:
@@ -96,9 +95,10 @@ def mask(images: DataFrame, key: str, width: int, height: int) -> DataFrame:
     return per_image(images, key, width, height, lambda a, r: np.where(fill([np.asarray(r.polygon, dtype=float).reshape(-1, 2)], width, height), a, 255))
 
 
-def clean(image: Column, width: int, height: int) -> Column:
-    """Median and contrast, in the order of the cleaning chain; ``binarise`` follows."""
-    return contrast(median3(image, width, height))
+def clean(images: DataFrame, key: str, width: int, height: int) -> DataFrame:
+    """The cleaning chain: median, contrast, threshold."""
+    smooth = median3(images, key, width, height)
+    return binarise(smooth.select(key, contrast(F.col("image")).alias("image")), key, width, height)
 
 
 def cropped(image: Column, width: int, left: Column, top: Column, right: Column, bottom: Column) -> Column:

@@ -446,7 +446,7 @@ def img_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("img_median3", _I + """, p AS (SELECT image_id, image, unnest(range(64)) AS i FROM img), q AS (SELECT image_id, i, list_sort(list_transform(range(9), lambda k: image[least(7, greatest(0, CAST(floor(i / 8) AS INT) + CAST(floor(k / 3) AS INT) - 1)) * 8 + least(7, greatest(0, i % 8 + k % 3 - 1)) + 1]))[5] AS v FROM p) SELECT image_id, i, v FROM q""")
 def img_median3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pixels(v.images(spark, sf_dir).select("image_id", raster.median3(F.col("image"), 8, 8).alias("image")))
+    return _pixels(raster.median3(v.images(spark, sf_dir), "image_id", 8, 8))
 
 
 @query("img_contrast", _I + ", d AS (SELECT image_id, list_transform(image, lambda p: CAST(least(255, round_even(abs(p * 1.5::DOUBLE - 100), 0)) AS INT)) AS image FROM img) " + _PIXELS.format("d"))
@@ -466,8 +466,7 @@ def img_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("img_clean")
 def img_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = v.images(spark, sf_dir).select("image_id", raster.clean(F.col("image"), 8, 8).alias("image"))
-    return _pixels(raster.binarise(cleaned, "image_id", 8, 8))
+    return _pixels(raster.clean(v.images(spark, sf_dir), "image_id", 8, 8))
 
 
 @query("mask_composite", _I + """, p AS (SELECT image_id, image, unnest(range(64)) AS i FROM img)

@@ -64,7 +64,7 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ln.group_lines(_words(spark, sf_dir))
+    return ln.group_lines(table(spark, sf_dir, "ocr_words"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +83,8 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _flag(rank: int) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         lined = _lined(spark, sf_dir)
-        hits = er.flag_words(lined, [r for r in er.word_rules() if r.rank == rank])
-        return hits.join(ln.line_context(lined).select(*ln.PAGE, "line", "line_text", "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1"), [*ln.PAGE, "line"]).select("error_type", *ln.PAGE, F.col("line").alias("line_number"), F.col("pos").alias("word_number"), F.col("span_offset").alias("character_number"), "line_text", F.col("content").alias("error"), "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1")
+        hits = er.flag_words(ln.with_context(lined), [r for r in er.word_rules() if r.rank == rank])
+        return hits.select("error_type", *ln.PAGE, F.col("line").alias("line_number"), F.col("pos").alias("word_number"), F.col("span_offset").alias("character_number"), "line_text", F.col("content").alias("error"), "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1")
 
     return run
 
@@ -94,21 +94,21 @@ def flag_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def errors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return er.errors_all(_words(spark, sf_dir))
+    return er.errors_all(table(spark, sf_dir, "ocr_words"))
 
 
 def errors_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return er.error_rows(_words(spark, sf_dir)).groupBy("source_document").agg(F.count("*").alias("errors"))
+    return er.error_rows(table(spark, sf_dir, "ocr_words")).groupBy("source_document").agg(F.count("*").alias("errors"))
 
 
 def errors_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return er.error_rows(_words(spark, sf_dir)).groupBy("error_type").agg(F.count("*").alias("errors"))
+    return er.error_rows(table(spark, sf_dir, "ocr_words")).groupBy("error_type").agg(F.count("*").alias("errors"))
 
 
 def errors_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON text of the errors of each document."""
     record = F.to_json(F.struct("error_type", "page_number", "line_number", "word_number", "character_number", "error"))
-    rows = er.error_rows(_words(spark, sf_dir))
+    rows = er.error_rows(table(spark, sf_dir, "ocr_words"))
     at = F.struct(F.concat(F.lit("page-"), F.col("page_number").cast("string")).alias("p"), "rule_rank", "in_rule", record.alias("r"))
     return rows.groupBy("source_document").agg(F.concat(F.lit('{"errors":['), text.join_ordered(F.collect_list(at), "r", ","), F.lit("]}")).alias("body"))
 
@@ -122,7 +122,7 @@ def error_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_token_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ln.upper_median_height(_words(spark, sf_dir))
+    return ln.upper_median_height(table(spark, sf_dir, "ocr_words"))
 
 
 def geometry_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
