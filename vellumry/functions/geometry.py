@@ -38,7 +38,7 @@ def bbox_to_flat(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 
 def crop_window(x0: Column, y0: Column, x1: Column, y1: Column, dpi: int = FLAG_DPI, pad: float = CROP_PAD_IN) -> Column:
     """Pixel window around a box in inches: padded, cut off at 0 only, truncated to whole pixels."""
-    px = lambda c: (c * F.lit(dpi)).cast("int")
+    px = lambda c: (c * F.lit(dpi)).try_cast("int")
     return F.struct(px(F.greatest(_d(0), x0 - _d(pad))).alias("left"), px(F.greatest(_d(0), y0 - _d(pad))).alias("top"), px(x1 + _d(pad)).alias("right"), px(y1 + _d(pad)).alias("bottom"))
 
 
@@ -47,7 +47,7 @@ def center(lo: Column, hi: Column) -> Column:
 
 
 def points_to_pixels(pt: Column, dpi: int = PAGE_DPI) -> Column:
-    return F.bround(pt / _d(72) * F.lit(dpi)).cast("int")
+    return F.bround(pt / _d(72) * F.lit(dpi)).try_cast("int")
 
 
 def points_to_inches(pt: Column) -> Column:
@@ -80,7 +80,7 @@ def clamp(v: Column, size: Column) -> Column:
 
 def validated(poly: Column, width: Column, height: Column) -> Column:
     """``struct<polygon,error>``: truncated and clamped points, or the reason against the polygon."""
-    kept = F.transform(poly, lambda q: point(clamp(q["x"].cast("long").cast("double"), width), clamp(q["y"].cast("long").cast("double"), height)))
+    kept = F.transform(poly, lambda q: point(clamp(q["x"].try_cast("long").cast("double"), width), clamp(q["y"].try_cast("long").cast("double"), height)))
     bare = F.exists(poly, lambda q: q["x"].isNull() | q["y"].isNull())
     error = F.when(poly.isNull() | (F.size(poly) < 3), TOO_FEW).when(bare, NO_COORDINATES).when(F.size(F.array_distinct(kept)) < 3, TOO_FEW_UNIQUE)
     return F.struct(F.when(error.isNull(), kept).alias("polygon"), error.alias("error"))
@@ -130,7 +130,7 @@ def fit_canvas(width: Column, height: Column, canvas_w: Column, canvas_h: Column
     room_w, room_h = canvas_w - padding, canvas_h - padding
     if guard:
         room_w, room_h = F.greatest(F.lit(1), room_w), F.greatest(F.lit(1), room_h)
-    scale = F.least(room_w / width, room_h / height)
+    scale = F.least(F.try_divide(room_w, width), F.try_divide(room_h, height))
     rw, rh = F.greatest(F.lit(1), F.bround(width * scale).cast("int")), F.greatest(F.lit(1), F.bround(height * scale).cast("int"))
     return F.struct(scale.alias("scale"), rw.alias("rendered_w"), rh.alias("rendered_h"), F.greatest(F.lit(0), F.floor((canvas_w - rw) / 2)).alias("offset_x"), F.greatest(F.lit(0), F.floor((canvas_h - rh) / 2)).alias("offset_y"))
 

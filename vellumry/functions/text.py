@@ -49,7 +49,7 @@ def page_file(n: Column) -> Column:
 
 
 def page_of_file(name: Column) -> Column:
-    return F.nullif(F.regexp_extract(name, r"page_(\d+)\.json$", 1), F.lit("")).cast("int")
+    return F.nullif(F.regexp_extract(name, r"page_(\d+)\.json$", 1), F.lit("")).try_cast("int")
 
 
 def prefixed_id(n: Column) -> Column:

@@ -105,13 +105,15 @@ def compact(files: DataFrame, target_bytes: int = TARGET_BYTES) -> tuple[DataFra
     name = uuid.uuid4().hex
     staging, final = f"{base}/_staging-{name}", f"{base}/compact-{name}"
     binned.repartition("bin").write.partitionBy("bin").parquet(staging)
-    back = spark.read.parquet(staging) if kept.limit(1).count() else kept.withColumn("bin", F.lit(0))
+    schema = kept.schema.add("bin", "long")
+    back = spark.read.schema(schema).parquet(staging)
     whole, again = sums_of(kept).first(), sums_of(back).first()
-    apart = sums_of(binned, "bin").join(sums_of(back, "bin").withColumnsRenamed({"rows": "rows2", "checksum": "checksum2"}), "bin", "full").where("not (rows <=> rows2 and checksum <=> checksum2)").count() if whole else 0
+    twice = sums_of(back, "bin").withColumnsRenamed({"rows": "rows2", "checksum": "checksum2"})
+    apart = sums_of(binned, "bin").join(twice, "bin", "full").where("not (rows <=> rows2 and checksum <=> checksum2)").count()
     if whole != again or apart:
         raise RuntimeError(f"rewritten bins don't agree with what was listed: {whole} {again}, {apart} bins")
     commit(spark, staging, final)
-    return (spark.read.parquet(final) if whole else back), final
+    return spark.read.schema(schema).parquet(final), final
 
 
 def commit(spark, staging: str, final: str) -> None:

@@ -57,7 +57,7 @@ def placed_words(reads: DataFrame) -> DataFrame:
     Only a line's first span counts, lines without one are skipped. Words are numbered by offset within each line, and
     then of several lines the last is taken; words on no line are left out.
     """
-    pages = shred.latest(reads).dropDuplicates(["read_id"]).select("read_id", "source_document", F.posexplode("pages").alias("page_index", "page"))
+    pages = shred.latest(reads, ("source_document", "pages")).dropDuplicates(["read_id"]).select("read_id", "source_document", F.posexplode("pages").alias("page_index", "page"))
     base = ["read_id", F.col("page_index").cast("long").alias("page_index")]
     words = pages.select(*base, "source_document", F.posexplode("page.words").alias("seq", "w")).where("w is not null").select("read_id", "page_index", "source_document", "seq", "w.content", F.coalesce("w.confidence", F.lit(1.0)).alias("confidence"), F.col("w.span.offset").alias("span_offset"), geometry.flat_bbox(F.col("w.polygon")).alias("err"))
     lines = pages.select(*base, F.posexplode("page.lines").alias("line_index", "l")).select("read_id", "page_index", F.col("line_index").cast("long").alias("line_index"), F.col("l.content").alias("line_text"), geometry.flat_bbox(F.col("l.polygon")).alias("ctx"), F.get("l.spans", F.lit(0)).alias("s"))

@@ -53,7 +53,7 @@ def on_save(documents: Column, n: Column) -> Column:
 
 
 def current_document(current: Column, n: Column) -> Column:
-    k = F.nullif(F.regexp_extract(current, r"^doc_([1-9]\d*)$", 1), F.lit("")).cast("int")
+    k = F.nullif(F.regexp_extract(current, r"^doc_([1-9]\d*)$", 1), F.lit("")).try_cast("int")
     return F.when(k <= n, current).otherwise(F.lit("doc_1"))
 
 

@@ -31,7 +31,7 @@ def documents_of(paths: DataFrame) -> DataFrame:
     Folders of pages keep their text order (page-1, page-10, page-2).
     """
     out = paths.select("path", F.regexp_extract("path", r"([^/]+)/([^/]+)/[^/]+$", 1).alias("document"), F.regexp_extract("path", r"([^/]+)/([^/]+)/[^/]+$", 2).alias("page_folder"))
-    return out.where(~F.col("document").startswith("_analysis") & F.col("page_folder").rlike(r"^page-(\d+)$")).withColumn("page_number", F.regexp_extract("page_folder", r"^page-(\d+)$", 1).cast("long"))
+    return out.where(~F.col("document").startswith("_analysis") & F.col("page_folder").rlike(r"^page-(\d+)$")).withColumn("page_number", F.regexp_extract("page_folder", r"^page-(\d+)$", 1).try_cast("long"))
 
 
 def only_document(files: DataFrame) -> DataFrame:

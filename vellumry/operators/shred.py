@@ -67,11 +67,12 @@ def entities(nodes: DataFrame, key: str, label: str, scalars: dict[str, str]) ->
 
 def index_in(node: Column, label: str) -> Column:
     """The position that a node's name gives for its ancestor (or itself) ``label``."""
-    return F.regexp_extract(node, f"/{label}(\\d+)", 1).cast("long")
+    return F.regexp_extract(node, f"/{label}(\\d+)", 1).try_cast("long")
 
 
-def latest(reads: DataFrame, key: str = "read_id", at: str = "received_at") -> DataFrame:
-    """Of deliveries of one read the last; copies with the same time stay and fall together later."""
+def latest(reads: DataFrame, columns: tuple[str, ...] = ("pages",), key: str = "read_id", at: str = "received_at") -> DataFrame:
+    """Of deliveries of one read the last, with its key, time and ``columns``; copies with the same time stay and fall together later."""
+    reads = reads.select(key, at, *columns)
     last = reads.groupBy(F.col(key).alias("_k")).agg(F.max(at).alias("_at"))
     return reads.join(last, F.col(key).eqNullSafe(F.col("_k")) & F.col(at).eqNullSafe(F.col("_at")), "left_semi")
 
@@ -115,7 +116,7 @@ def covering(words: DataFrame, spans: DataFrame) -> DataFrame:
     within the page, by buckets of offsets: a span stands in the one or two buckets that it touches at the width chosen by
     its length, a word looks only into the widths that its page has.
     """
-    ends = F.col("offset") + F.col("length")
+    ends = F.coalesce(F.try_add(F.col("offset"), F.col("length")), F.lit((1 << 63) - 1))
     spans = spans.where("length > 0 and offset is not null").select("read_id", "page_index", "line_index", "offset", ends.alias("end"), _level(F.col("length")).alias("level"))
     at = F.array_distinct(F.array(_bucket(F.col("offset"), F.col("level")), _bucket(F.col("end") - 1, F.col("level"))))
     keyed = spans.select("*", F.explode(at).alias("bucket"))

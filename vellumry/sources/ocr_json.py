@@ -19,7 +19,7 @@ def read_page_folders(spark: SparkSession, root: str) -> DataFrame:
     """``<root>/<document>/page-<n>/read.json``: the first page of each file; folders of analyses are skipped."""
     df = _read(spark, schemas.OCR_PAGES, f"{root}/*/page-*/read.json")
     at = r"/([^/]+)/page-(\d+)/read\.json$"
-    out = df.select(F.regexp_extract("path", at, 1).alias("document"), F.regexp_extract("path", at, 2).cast("long").alias("page_number"), F.get("pages", F.lit(0)).alias("page"))
+    out = df.select(F.regexp_extract("path", at, 1).alias("document"), F.regexp_extract("path", at, 2).try_cast("long").alias("page_number"), F.get("pages", F.lit(0)).alias("page"))
     return out.where(~F.col("document").startswith("_analysis") & F.col("page_number").isNotNull() & F.col("page").isNotNull())
 
 
