@@ -37,10 +37,12 @@ NUMBER = re.compile(r"^[^\w]*(?:[^\W\d_]{1,5}\.?\s*)?(?:[\dlOoSBIZ]{1,6}|[ivxlcd
 #: Words of a heading that belong to its page number.
 NUMBERED = re.compile(r"^[^\w]*(?:(?:p|pp|fol|page|f|leaf|folio|no)\.?|[\dlOoSBIZ]+[rv]?|[ivxlcdm]+|[IVXLC]+)[^\w]*$", re.I)
 DIGITS = re.compile(r"\d")
-EDGES = ".,;:!?\"()[]“”"
+EDGES = ".,;:?\"()[]“”"
 #: The start values weigh as much as so many pages.
 PRIOR_PAGES = 50.0
-CANDIDATE_RATIO = 20
+#: Of the share of words that a mark or digit gives away, what one misreading of one word has at most, and how far above
+#: that its count may lie by chance (in standard deviations).
+KIND_SHARE, CHANCE = 0.5, 3.0
 CONFUSION_WORDS = 3
 
 
@@ -233,10 +235,23 @@ def _splits(word: str) -> str:
  struct(xxhash64(substr({word}, 1, i), substr({word}, i + k + 1), i) AS sig, substr({word}, i + 1, k) AS part))))"""
 
 
-def misread_types(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``core, word``: types of body words that are misread, and what was written (null if only a mark tells)."""
+PLACE = ["source_document", "page_number", "line_number", "word_number"]
+
+
+def parts_of(broken: DataFrame) -> DataFrame:
+    """Where the parts of cut words stand."""
+    return broken.select(*PLACE).union(broken.select("source_document", "next_page", "next_line", "next_word_number")).distinct()
+
+
+def misread_types(tokens: DataFrame, lexicon: DataFrame, broken: DataFrame) -> DataFrame:
+    """``core, word``: types of whole body words that are misread, and what was written (null if only a mark tells).
+
+    A word of a million may well be misread a thousand times in one way, but not ten thousand times: then it is a word of
+    its own. How often a misreading may occur follows from the share of words with marks and digits in them.
+    """
     cut = F.col("place").isin("last", "only") & F.col("core").rlike(_CUT_END)
-    types = tokens.where("state = 'body' and place <> 'turn' and core <> ''").where(~cut).groupBy("core").agg(F.count("*").alias("n"))
+    whole = tokens.where("state = 'body' and place <> 'turn' and core <> ''").where(~cut).join(parts_of(broken), PLACE, "left_anti")
+    types = whole.groupBy("core").agg(F.count("*").alias("n"))
     # within the word: letters before and after, or a digit or mark that no word is written with
     odd = F.col("core").rlike(r"\p{L}") & (F.col("core").rlike(r"[|†@!`ſ~^<>#$%*]") | (F.col("core").rlike(r"\d") & ~F.col("core").rlike(r"^[\dlOSBIZo,.]+(st|nd|rd|th|s|r|v)?$")))
     inner = F.col("core").rlike(r"\p{Ll}\p{Lu}") | F.col("core").rlike(r"^\p{Lu}{2,}\p{Ll}")
@@ -247,7 +262,9 @@ def misread_types(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     right = plain.select("word", F.col("n").alias("w_n"), F.explode(F.expr(_splits("word"))).alias("x")).select("word", "w_n", F.col("x.sig").alias("sig"), F.col("x.part").alias("w_part"))
     lows = t.groupBy("low").agg(F.sum("n").alias("n"), F.max("odd").alias("odd"))
     left = lows.where("length(low) > 1").select("low", "n", "odd", F.explode(F.expr(_splits("low"))).alias("x")).select("low", "n", "odd", F.col("x.sig").alias("sig"), F.col("x.part").alias("part"))
-    met = left.join(right, "sig").where((F.col("low") != F.col("word")) & (F.col("w_n") >= F.when(F.col("odd"), F.col("n")).otherwise(F.col("n") * CANDIDATE_RATIO)))
+    given_away = t.agg(F.coalesce(F.sum(F.when(F.col("odd"), F.col("n"))) / F.sum("n"), F.lit(0.0)).alias("share")).first()["share"]
+    usual = F.col("w_n") * F.lit(given_away * KIND_SHARE)
+    met = left.join(right, "sig").where((F.col("low") != F.col("word")) & F.when(F.col("odd"), F.col("n") <= F.col("w_n")).otherwise(F.col("n") <= usual + F.sqrt(usual) * CHANCE + 1))
     least = met.groupBy("low", "word", "n", "odd", "w_n").agg(F.min_by(F.struct("part", "w_part"), F.struct(F.length("part") + F.length("w_part"), "part", "w_part")).alias("m"))
     pairs = materialise(least.select("low", "word", "n", "odd", "w_n", "m.part", "m.w_part"), "misreads")
     seen = pairs.groupBy("part", "w_part").agg(F.countDistinct("word").alias("words"))
@@ -263,19 +280,18 @@ def analyse(words: DataFrame) -> dict[str, DataFrame]:
     pages = materialise(page_rows(words), "pages")
     tokens = materialise(label(pages, sample_model(pages)), "tokens")
     lexicon = materialise(lexicon_of(tokens), "lexicon")
-    return {"tokens": tokens, "broken": materialise(broken_words(tokens, lexicon), "broken"), "misread": materialise(misread_types(tokens, lexicon), "types")}
+    broken = materialise(broken_words(tokens, lexicon), "broken")
+    return {"tokens": tokens, "broken": broken, "misread": materialise(misread_types(tokens, lexicon, broken), "types")}
 
 
 def faults(words: DataFrame) -> DataFrame:
     """``source_document, page_number, line_number, word_number, kind``."""
-    at = ["source_document", "page_number", "line_number", "word_number"]
     got = analyse(words)
     tokens, broken = got["tokens"], got["broken"]
     zero = F.lit(0).cast("long").alias("word_number")
     lines = tokens.where("state in ('header', 'number')").select("source_document", "page_number", "line_number", zero, F.when(F.col("state") == "header", "running_header").otherwise("page_number").alias("kind")).distinct()
-    cut = broken.select(*at, F.lit("broken_word").alias("kind")).distinct()
-    parts = cut.select(at).union(broken.select("source_document", "next_page", "next_line", "next_word_number"))
-    wrong = tokens.where("state = 'body' and place <> 'turn'").join(got["misread"].select("core"), "core", "left_semi").join(parts, at, "left_anti").select(*at, F.lit("misread_word").alias("kind"))
+    cut = broken.select(*PLACE, F.lit("broken_word").alias("kind")).distinct()
+    wrong = tokens.where("state = 'body' and place <> 'turn'").join(got["misread"].select("core"), "core", "left_semi").join(parts_of(broken), PLACE, "left_anti").select(*PLACE, F.lit("misread_word").alias("kind"))
     return lines.unionByName(cut).unionByName(wrong).distinct()
 
 
