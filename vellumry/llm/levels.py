@@ -17,6 +17,7 @@ Defined results: null, empty and blank texts, texts in other languages, lists of
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ BANDS = 5
 MIN_WORDS = 40
 #: Share of words known from the passages from which a text is taken as English.
 KNOWN_SHARE = 0.35
+#: The same against all words between white space, for texts that are mostly in other scripts.
+KNOWN_WRITTEN = 0.3
 LABELLED = 20_000
 ROUNDS = 2
 #: A stretch without a full stop of more known words than LONG_UNIT is cut into windows of WINDOW.
@@ -40,7 +43,9 @@ ANCHOR = 20.0
 STOPS = {".": -1, "?": -1, "!": -1}
 _WORDS = re.compile(r"[a-z]+|[.?!]")
 _LIST_LINE = re.compile(r"(?m)^[^\S\n]*(?:\S+[^\S\n]+){0,3}[\d.,]+[^\S\n]*$")
-_HYPHEN = re.compile(r"(?<=[a-z])[-¬‐]\n(?=[a-z])")
+_HYPHEN = re.compile(r"(?<=[a-z])-\n(?=[a-z])")
+#: Dashes and the like stand between words, marks of cut words are hyphens.
+_SPACES = {**dict.fromkeys(map(ord, "—–…«»“”·•\u2028\u2029"), " "), **dict.fromkeys(map(ord, "‐‑¬"), "-")}
 
 
 def running_text(text: str | None) -> tuple[str, int]:
@@ -50,7 +55,9 @@ def running_text(text: str | None) -> tuple[str, int]:
     if any(d in text for d in "0123456789"):
         text = _LIST_LINE.sub(" ", text)
     n = len(text.split())
-    text = text.lower().replace("­\n", "").replace("­", "")
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text.translate(_SPACES).replace("\u00ad\n", "").replace("\u00ad", "")).encode("ascii", "ignore").decode()
+    text = text.lower()
     return (_HYPHEN.sub("", text) if "\n" in text else text), n
 
 
@@ -148,7 +155,8 @@ def features(documents: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
                 if n < MIN_WORDS:
                     continue
                 ids, words = unit_ids(text, vocabulary)
-                if sum(x >= 0 for x in ids) >= KNOWN_SHARE * max(1, words):
+                known = sum(x >= 0 for x in ids)
+                if known >= KNOWN_SHARE * max(1, words) and known >= KNOWN_WRITTEN * n:
                     keep.append(i)
                     made.append(np.array(ids, dtype=np.int16 if len(vocabulary) < 32_000 else np.int32))
             offsets = np.zeros(len(made) + 1, dtype=np.int32)
