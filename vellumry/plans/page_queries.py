@@ -150,7 +150,7 @@ def flat_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.polygons(spark, sf_dir).select("doc_id", F.posexplode(g.to_flat(F.col("polygon"))).alias("i", "v")).select("doc_id", F.col("i").cast("long").alias("i"), "v")
 
 
-@query("handle_hit", _P + " SELECT doc_id, nullif(list_position(list_transform(polygon, lambda q: abs(q.x - (polygon[2].x + doc_id % 30)) <= 12 AND abs(q.y - (polygon[2].y - 5)) <= 12), true), 0) - 1 AS corner FROM polys")
+@query("handle_hit", _P + " SELECT doc_id, CAST(nullif(list_position(list_transform(polygon, lambda q: abs(q.x - (polygon[2].x + doc_id % 30)) <= 12 AND abs(q.y - (polygon[2].y - 5)) <= 12), true), 0) - 1 AS BIGINT) AS corner FROM polys")
 def handle_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.get("polygon", F.lit(1))
     return v.polygons(spark, sf_dir).select("doc_id", g.handle_at(F.col("polygon"), q["x"] + F.col("doc_id") % 30, q["y"] - 5).alias("corner"))
@@ -339,7 +339,7 @@ def label_page_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("doc_id", "num_documents").join(written, "doc_id", "left").select("doc_id", "num_documents", F.coalesce("written", F.lit(0)).alias("written"))
 
 
-@query("label_export", _DECLARED + " SELECT doc_id, 'doc_' || doc_idx AS doc_key, info_type, count(*) AS polygons, sum(len(polygon)) AS corners FROM dec GROUP BY ALL")
+@query("label_export", _DECLARED + " SELECT doc_id, 'doc_' || doc_idx AS doc_key, info_type, count(*) AS polygons, CAST(sum(len(polygon)) AS BIGINT) AS corners FROM dec GROUP BY ALL")
 def label_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = labels.export(_label_rows(spark, sf_dir), _BY).select("doc_id", "doc_key", F.explode("polygons").alias("info_type", "p"))
     return e.select("doc_id", "doc_key", "info_type", F.size("p").cast("long").alias("polygons"), F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + F.size(x)).alias("corners"))

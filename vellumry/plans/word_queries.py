@@ -129,7 +129,7 @@ def geometry_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes, centres, heights and crop windows of words from their polygons."""
     w = _words(spark, sf_dir).withColumn("poly", g.bbox_to_flat(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).withColumn("b", g.flat_bbox(F.col("poly")))
     c = g.crop_window(F.col("b.x0"), F.col("b.y0"), F.col("b.x1"), F.col("b.y1"))
-    return w.select(*ln.PAGE, "seq", "b.*", g.center(F.col("b.x0"), F.col("b.x1")).alias("xc"), g.center(F.col("b.y0"), F.col("b.y1")).alias("yc"), (F.col("b.y1") - F.col("b.y0")).alias("height"), c["left"].alias("left"), c["top"].alias("top"), c["right"].alias("right"), c["bottom"].alias("bottom"))
+    return w.select(*ln.PAGE, F.col("seq").cast("long").alias("seq"), "b.*", g.center(F.col("b.x0"), F.col("b.x1")).alias("xc"), g.center(F.col("b.y0"), F.col("b.y1")).alias("yc"), (F.col("b.y1") - F.col("b.y0")).alias("height"), c["left"].alias("left"), c["top"].alias("top"), c["right"].alias("right"), c["bottom"].alias("bottom"))
 
 
 def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests on one machine) a temporary folder is made and set for the session.
+    Only where it is unset, on one machine, a temporary folder is made and set for the session.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="vellumry-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -29,6 +31,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/vellumry/{label}-{uuid.uuid4().hex}"
 
 
+def clean(spark: SparkSession) -> None:
+    """Remove all tables written so far to the shared folder; results that read them are then void."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/vellumry")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and every later use sees the same rows.
 
