@@ -10,7 +10,7 @@ them. Distinct texts are worked on, with the number of pages of each; copies are
    of a text bound the pages of all its variants from above. Texts whose bound is below the threshold are done with.
 2. Centres. Of the texts behind a key only the heaviest (on most pages) is compared with the texts that probe the key.
    What is within reach of a heavier centre is no centre itself; the next round finds the leaders of the rest.
-   Texts still unsettled after ``ROUNDS`` that stand exactly on two or more pages are compared outright.
+   Texts still unsettled after ``ROUNDS`` are compared outright with all that probe their keys.
 3. Exact second pass. Distances are checked on the texts, pages are counted distinct over all variants of a centre, and
    lines of confirmed texts are removed by a join with the set of these texts.
 
@@ -102,7 +102,7 @@ def repeated_forms(rows: DataFrame, min_pages: int = MIN_PAGES, rounds: int = RO
         settled = got.where(lighter).select("id").union(leaders.groupBy("id").agg(F.count("*").alias("leads")).join(keyed(open_).groupBy("id").agg(F.count("*").alias("keys")), "id").where("leads = keys").select("id"))
         open_ = materialise(open_.join(settled.distinct(), "id", "left_anti"), "open")
         found = got if found is None else found.unionByName(got)
-    rest = _pairs(keyed(open_.where("pages >= 2")), probes, long)
+    rest = _pairs(keyed(open_), probes, long)
     pairs = materialise(found.unionByName(rest).select("c_id", "id", "pages").distinct(), "verified")
     heavy = pairs.groupBy("c_id").agg(F.sum("pages").alias("most")).where(F.col("most") >= min_pages).select("c_id")
     members = pairs.join(heavy, "c_id", "left_semi").select("c_id", "id")
