@@ -1,7 +1,9 @@
 """Token encoding, packing, repeated lines, scan repair and reading levels on small cases."""
 
+import os
 import random
 
+import duckdb
 import pytest
 
 from vellumry.llm import levels, packing, queries, repeats, scans, tokens
@@ -227,3 +229,16 @@ def test_held_out_levels(spark):
 def test_queries_are_named_after_their_problems():
     assert all(name.split("_")[0] in {"p4", "p5", "p7", "p8", "p9"} for name in queries.queries())
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_against_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW ocr_lines AS SELECT * FROM '{DATA}/ocr_lines.parquet'")
+    want = con.execute(queries.oracle_sql()[name]).df()
+    got = queries.queries()[name](spark, DATA).toPandas()[list(want.columns)]
+    assert sorted(map(repr, got.astype(str).values.tolist())) == sorted(map(repr, want.astype(str).values.tolist()))

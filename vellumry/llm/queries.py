@@ -69,10 +69,18 @@ c AS (SELECT d.s, d.x FROM d JOIN f ON f.s = d.s AND f.f = d.y GROUP BY 1, 2 HAV
 k AS (SELECT DISTINCT d.s, d.y FROM d JOIN c ON c.s = d.s AND c.x = d.x)
 SELECT DISTINCT l.s AS source_document, l.p AS page_number, l.n AS line_number FROM l JOIN k ON k.s = l.s AND k.y = l.f"""
 
+#: Lines that stay, page by page.
+P4_PAGES_SQL = (
+    P4_SQL.replace("SELECT DISTINCT l.s AS source_document", ", gone AS (SELECT DISTINCT l.s AS source_document")
+    + """), o AS (SELECT DISTINCT source_document, page_number, line_number, content FROM ocr_lines)
+SELECT source_document, page_number, CAST(count(*) AS INT) AS lines, string_agg(content, chr(10) ORDER BY line_number, content) AS text FROM o
+WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.source_document = o.source_document AND gone.page_number = o.page_number AND gone.line_number IS NOT DISTINCT FROM o.line_number) GROUP BY 1, 2"""
+)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"p4_found": p4_found, "p4_pages": p4_pages, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p5_contexts": p5_contexts, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_profile": p9_profile, "p9_words": p9_words}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": P4_SQL}
+    return {"p4_found": P4_SQL, "p4_pages": P4_PAGES_SQL}
