@@ -59,10 +59,12 @@ def parse_records(body: str | None) -> list[dict] | None:
         return None
     try:
         value = json.loads(body)
+    except RecursionError:
+        return None
     except ValueError:
         try:
             value = [json.loads(line) for line in body.splitlines() if line.strip()]
-        except ValueError:
+        except (ValueError, RecursionError):
             return None
     if isinstance(value, dict):
         value = value["errors"] if isinstance(value.get("errors"), list) else [value]

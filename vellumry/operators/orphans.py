@@ -97,12 +97,12 @@ def orphan_counts(found: DataFrame, table_name: str, at: str = "submitted_at") -
     return found.groupBy(F.lit(table_name).alias("table_name"), month, "reason").agg(F.count("*").alias("orphans"))
 
 
-def open_by_month(references: DataFrame, entries: DataFrame, at: str = "submitted_at") -> DataFrame:
+def open_by_month(references: DataFrame, entries: DataFrame, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
     """Snapshots: at the end of each month with any change, the references that then wait for a parent.
 
     Complete references only; each change of a location's state adds to or takes from the number that waits.
     """
-    refs = located(references, F.col(at).alias("at")).dropna().groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
+    refs = located(references, F.col(ref_id).alias("_id"), F.col(at).alias("at")).distinct().dropna(subset=[*LEVELS, "at"]).groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
     states = advance(location_events(refs, parents_of(entries).dropna(subset=LEVELS)))
     waits = F.when(F.col("standing_now") == 0, F.col("refs_now")).otherwise(0) - F.when(F.col("standing_was") == 0, F.col("refs_was")).otherwise(0)
     monthly = states.groupBy(F.date_format("at", "yyyy-MM").alias("month")).agg(F.sum(waits).alias("change"))

@@ -81,6 +81,22 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p6_found": _ORPHANS + "SELECT DISTINCT correction_id, reason FROM r WHERE reason IS NOT NULL",
         "p6_counts": _ORPHANS + "SELECT 'corrections' AS table_name, strftime(submitted_at, '%Y-%m') AS \"month\", reason, count(*) AS orphans FROM (SELECT DISTINCT * FROM r WHERE reason IS NOT NULL) GROUP BY ALL",
+        "p6_open": _ORPHANS
+        + """, k AS (SELECT DISTINCT c.* FROM c WHERE d IS NOT NULL AND p IS NOT NULL AND l IS NOT NULL AND w IS NOT NULL AND submitted_at IS NOT NULL),
+f AS (SELECT * FROM e WHERE d IS NOT NULL AND p IS NOT NULL AND l IS NOT NULL AND w IS NOT NULL AND exported_at IS NOT NULL),
+m AS (SELECT DISTINCT date_trunc('month', t) + INTERVAL 1 MONTH AS t FROM (SELECT submitted_at AS t FROM k UNION ALL SELECT exported_at FROM f UNION ALL SELECT withdrawn_at FROM f WHERE withdrawn_at > exported_at)),
+s AS (SELECT DISTINCT m.t, k.correction_id, k.submitted_at, k.d, k.p, k.l, k.w FROM m JOIN k ON k.submitted_at < m.t JOIN f ON f.d = k.d AND f.p = k.p AND f.l = k.l AND f.w = k.w AND f.exported_at < m.t AND (f.withdrawn_at IS NULL OR f.withdrawn_at >= m.t)),
+n AS (SELECT m.t, count(k.correction_id) AS n FROM m LEFT JOIN k ON k.submitted_at < m.t GROUP BY 1), h AS (SELECT t, count(*) AS n FROM s GROUP BY 1)
+SELECT strftime(n.t - INTERVAL 1 MONTH, '%Y-%m') AS "month", n.n - coalesce(h.n, 0) AS open_references FROM n LEFT JOIN h ON n.t = h.t""",
+        "p2_spans": _PAGES
+        + """, w AS (SELECT read_id, page_index, unnest(range(len(page.words))) AS i, unnest(page.words).span AS s FROM pg), l AS (SELECT read_id, page_index, unnest(range(len(page.lines))) AS i, unnest(page.lines).spans AS s FROM pg),
+x AS (SELECT read_id, page_index, i, unnest(range(len(s))) AS k, unnest(s) AS s FROM l)
+SELECT read_id, page_index, 'word' AS owner, i AS owner_index, 0 AS span_index, s."offset" AS "offset", s.length AS length FROM w WHERE s."offset" IS NOT NULL OR s.length IS NOT NULL
+UNION ALL SELECT read_id, page_index, 'line', i, k, s."offset", s.length FROM x""",
+        "p2_points": _PAGES
+        + """, w AS (SELECT read_id, page_index, unnest(range(len(page.words))) AS i, unnest(page.words).polygon AS p, 'word' AS owner FROM pg UNION ALL SELECT read_id, page_index, unnest(range(len(page.lines))), unnest(page.lines).polygon, 'line' FROM pg),
+x AS (SELECT read_id, page_index, owner, i, p, unnest(range(CAST(ceil(len(p) / 2) AS BIGINT))) AS k FROM w)
+SELECT read_id, page_index, owner, i AS owner_index, k AS point_index, p[2 * k + 1] AS x, p[2 * k + 2] AS y FROM x""",
         "p2_pages": _PAGES + "SELECT read_id, page_index, page.pagenumber AS pagenumber FROM pg",
         "p2_words": _PAGES + "SELECT read_id, page_index, word_index, w.content AS content, w.confidence AS confidence FROM (SELECT read_id, page_index, unnest(range(len(page.words))) AS word_index, unnest(page.words) AS w FROM pg)",
         "p2_lines": _PAGES + "SELECT read_id, page_index, line_index, l.content AS content FROM (SELECT read_id, page_index, unnest(range(len(page.lines))) AS line_index, unnest(page.lines) AS l FROM pg)",
