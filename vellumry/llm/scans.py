@@ -40,9 +40,11 @@ DIGITS = re.compile(r"\d")
 EDGES = ".,;:?\"()[]“”"
 #: The start values weigh as much as so many pages.
 PRIOR_PAGES = 50.0
-#: Of the share of words that a mark or digit gives away, what one misreading of one word has at most, and how far above
-#: that its count may lie by chance (in standard deviations).
-KIND_SHARE, CHANCE = 0.5, 3.0
+#: How many times as often as in all other words a confusion may occur in one word, and how far above that its count may lie
+#: by chance (in standard deviations).
+MARGIN, CHANCE = 10.0, 3.0
+#: What is more frequent than this share of the word it resembles is a word of its own and isn't counted as a confusion's case.
+OWN_WORD = 0.1
 CONFUSION_WORDS = 3
 
 
@@ -238,6 +240,11 @@ def _splits(word: str) -> str:
  struct(xxhash64(substr({word}, 1, i), substr({word}, i + k + 1), i) AS sig, substr({word}, i + 1, k) AS part))))"""
 
 
+def _held(word: str) -> str:
+    """SQL for the distinct stretches of up to two letters of a word, the empty one included."""
+    return f"array_distinct(flatten(transform(sequence(0, least(2, length({word}))), k -> transform(sequence(1, length({word}) - k + 1), i -> substr({word}, i, k)))))"
+
+
 PLACE = ["source_document", "page_number", "line_number", "word_number"]
 
 
@@ -249,12 +256,14 @@ def parts_of(broken: DataFrame) -> DataFrame:
 def misread_types(tokens: DataFrame, lexicon: DataFrame, broken: DataFrame) -> DataFrame:
     """``core, word``: types of whole body words that are misread, and what was written (null if only a mark tells).
 
-    A word of a million may well be misread a thousand times in one way, but not ten thousand times: then it is a word of
-    its own. How often a misreading may occur follows from the share of words with marks and digits in them.
+    A word of a million may well be misread a thousand times in one way, but not a hundred thousand times: then it is a word
+    of its own. The limit is a share of the right word's count that doesn't depend on the size of the tables: ``MARGIN``
+    times the rate of the confusion, pooled over all other words that could show it. Chance is allowed for on top, so small
+    counts pass too. Both counts are taken over the same positions.
     """
     cut = F.col("place").isin("last", "only") & F.col("core").rlike(_CUT_END)
     whole = tokens.where("state = 'body' and place <> 'turn' and core <> ''").where(~cut).join(parts_of(broken), PLACE, "left_anti")
-    types = whole.groupBy("core").agg(F.count("*").alias("n"))
+    types = materialise(whole.groupBy("core").agg(F.count("*").alias("n")), "cores")
     # within the word: letters before and after, or a digit or mark that no word is written with
     odd = F.col("core").rlike(r"\p{L}") & (F.col("core").rlike(r"[|†@!`ſ~^<>#$%*]") | (F.col("core").rlike(r"\d") & ~F.col("core").rlike(r"^[\dlOSBIZo,.]+(st|nd|rd|th|s|r|v)?$")))
     inner = F.col("core").rlike(r"\p{Ll}\p{Lu}") | F.col("core").rlike(r"^\p{Lu}{2,}\p{Ll}")
@@ -262,14 +271,20 @@ def misread_types(tokens: DataFrame, lexicon: DataFrame, broken: DataFrame) -> D
     cased = inner & hyphen.rlike(r"\p{Ll}\p{Lu}|^\p{Lu}{2,}\p{Ll}")
     t = types.withColumns({"low": F.lower("core"), "odd": odd, "cased": cased})
     plain = lexicon.where(F.col("word").rlike(r"^\p{L}[\p{L}-]*\p{L}$|^\p{L}$") & ~F.col("word").rlike("[ſ]") & (F.col("n") >= 3))
-    right = plain.select("word", F.col("n").alias("w_n"), F.explode(F.expr(_splits("word"))).alias("x")).select("word", "w_n", F.col("x.sig").alias("sig"), F.col("x.part").alias("w_part"))
     lows = t.groupBy("low").agg(F.sum("n").alias("n"), F.max("odd").alias("odd"))
+    known = materialise(plain.select("word").join(lows.select(F.col("low").alias("word"), F.col("n").alias("w_n")), "word"), "known")
+    right = known.select("word", "w_n", F.explode(F.expr(_splits("word"))).alias("x")).select("word", "w_n", F.col("x.sig").alias("sig"), F.col("x.part").alias("w_part"))
     left = lows.where("length(low) > 1").select("low", "n", "odd", F.explode(F.expr(_splits("low"))).alias("x")).select("low", "n", "odd", F.col("x.sig").alias("sig"), F.col("x.part").alias("part"))
-    given_away = t.agg(F.coalesce(F.sum(F.when(F.col("odd"), F.col("n"))) / F.sum("n"), F.lit(0.0)).alias("share")).first()["share"]
-    usual = F.col("w_n") * F.lit(given_away * KIND_SHARE)
-    met = left.join(right, "sig").where((F.col("low") != F.col("word")) & F.when(F.col("odd"), F.col("n") <= F.col("w_n")).otherwise(F.col("n") <= usual + F.sqrt(usual) * CHANCE + 1))
+    met = left.join(right, "sig").where((F.col("low") != F.col("word")) & (F.col("n") <= F.col("w_n")))
     least = met.groupBy("low", "word", "n", "odd", "w_n").agg(F.min_by(F.struct("part", "w_part"), F.struct(F.length("part") + F.length("w_part"), "part", "w_part")).alias("m"))
-    pairs = materialise(least.select("low", "word", "n", "odd", "w_n", "m.part", "m.w_part"), "misreads")
+    near = materialise(least.select("low", "word", "n", "odd", "w_n", "m.part", "m.w_part"), "near")
+    counted = F.when(~F.col("odd") & (F.col("n") <= F.col("w_n") * OWN_WORD + 1), F.col("n")).otherwise(0)
+    cases = near.groupBy("part", "w_part").agg(F.sum(counted).alias("cases"))
+    held = known.select("w_n", F.explode(F.expr(_held("word"))).alias("w_part")).groupBy("w_part").agg(F.sum("w_n").alias("held"))
+    others = F.coalesce((F.col("cases") - counted) / F.nullif(F.col("held") - F.col("w_n"), F.lit(0)), F.lit(0.0))
+    usual = F.col("w_n") * others * MARGIN
+    judged = near.join(cases, ["part", "w_part"]).join(held, "w_part").where(F.col("odd") | (F.col("n") <= usual + F.sqrt(usual) * CHANCE + 1))
+    pairs = materialise(judged.select("low", "word", "n", "odd", "w_n", "part", "w_part"), "misreads")
     seen = pairs.groupBy("part", "w_part").agg(F.countDistinct("word").alias("words"))
     stray = F.col("part").rlike(r"^[^\p{L}\p{N}-]+$") & (F.col("w_part") == "")
     fine = pairs.join(seen, ["part", "w_part"]).where(F.col("odd") | stray | (F.col("words") >= CONFUSION_WORDS))
