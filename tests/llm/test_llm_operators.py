@@ -162,6 +162,30 @@ def test_repeated_lines_against_all_pairs(spark):
     assert repeats.repeated_lines(df.where("false")).count() == 0
 
 
+def test_light_centres_of_heavier_misreadings(spark):
+    clean = "all rights stay with the house"
+    variants = [clean, *["xx" + clean[2:]] * 2, *[clean[:i] + "qq" + clean[i + 2 :] for i in (4, 12, 17, 26)]]
+    lines = [("a", p, 1, text, 0.5, "x", 1, 1, 1) for p, text in enumerate(variants, 1)]
+    assert len(brute(lines)) == 7
+    assert rows(repeats.repeated_lines(spark.createDataFrame(lines, LINES))) == brute(lines)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_light_notices_against_all_pairs(spark, seed):
+    rnd = random.Random(seed)
+    notices = ["".join(rnd.choice("abcdef") for _ in range(rnd.randrange(8, 22))) for _ in range(12)]
+
+    def noisy(t, most):
+        t = list(t)
+        for _ in range(rnd.randrange(most + 1)):
+            i = rnd.randrange(len(t))
+            t[i : i + 1] = rnd.choice(["", "q", t[i] + "z"])
+        return "".join(t)
+
+    lines = [(s, p, n, noisy(notices[rnd.randrange(12)], 4), 0.5, "x", 1, 1, 1) for s in "ab" for p in range(1, 36) for n in range(1, 4)]
+    assert rows(repeats.repeated_lines(spark.createDataFrame(lines, LINES))) == brute(lines)
+
+
 # Scanned pages
 
 WORDS = "source_document string, page_number long, line_number long, word_number long, content string, confidence double, at int, state string"

@@ -8,10 +8,11 @@ them. Distinct texts are worked on, with the number of pages of each; copies are
    of. The pages behind each key are added up: a count sketch per source (the source is hashed into the key), mergeable
    by addition, that never counts too few. Of two texts within two edits, some pair of quarters is untouched, so the keys
    of a text bound the pages of all its variants from above. Texts whose bound is below the threshold are done with.
-2. Centres. Of the texts behind a key only the heaviest (on most pages) is compared with the texts that probe the key.
-   What is within reach of a heavier centre is no centre itself; the next round finds the leaders of the rest.
-   Texts still unsettled after ``ROUNDS`` are compared outright with all that probe their keys.
-3. Exact second pass. Distances are checked on the texts, pages are counted distinct over all variants of a centre, and
+2. Leaders. Of the texts behind a key the heaviest (on most pages) is compared with the texts that probe the key; the
+   next of the ``ROUNDS`` finds the leaders of what no leader reaches. This confirms most texts at the price of few pairs.
+3. All other centres. Every candidate is a centre, however light. One whose variants are all confirmed adds nothing; so the
+   candidates are compared with the unconfirmed texts that probe their keys, and those that reach any are counted in full.
+4. Exact second pass. Distances are checked on the texts, pages are counted distinct over all variants of a centre, and
    lines of confirmed texts are removed by a join with the set of these texts.
 
 Defined results: null or letterless content, and rows without source or page, are never reported. Texts of fewer than
@@ -79,6 +80,15 @@ def _pairs(centres: DataFrame, probes: DataFrame, forms: DataFrame) -> DataFrame
     return both.where(F.levenshtein("form", "c_form", EDITS) >= 0).select("c_id", "c_form", "c_pages", "id", "pages")
 
 
+def _confirmed(pairs: DataFrame, on_pages: DataFrame, min_pages: int) -> DataFrame:
+    """``id`` of all variants of centres whose variants stand on ``min_pages`` different pages."""
+    heavy = pairs.groupBy("c_id").agg(F.sum("pages").alias("most")).where(F.col("most") >= min_pages).select("c_id")
+    members = pairs.join(heavy, "c_id", "left_semi").select("c_id", "id")
+    where = on_pages.select(F.xxhash64("source_document", "form").alias("id"), "page_number")
+    centres = members.join(where, "id").select("c_id", "page_number").distinct().groupBy("c_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    return members.join(centres, "c_id", "left_semi").select("id").distinct()
+
+
 def repeated_forms(rows: DataFrame, min_pages: int = MIN_PAGES, rounds: int = ROUNDS) -> DataFrame:
     """``source_document, form`` of every text that stands, itself or misread, on ``min_pages`` pages of its source."""
     on_pages = rows.select("source_document", "form", "page_number").distinct()
@@ -89,26 +99,29 @@ def repeated_forms(rows: DataFrame, min_pages: int = MIN_PAGES, rounds: int = RO
     own = long.select("id", "pages", F.explode(own_keys()).alias("key"))
     bound = own.join(sketch, "key").groupBy("id", "pages").agg(F.sum("held").alias("held"), F.count("*").alias("keys"))
     candidates = bound.where(F.col("held") - (F.col("keys") - 1) * F.col("pages") >= min_pages).select("id")
-    open_ = materialise(long.join(candidates, "id", "left_semi"), "candidates")
+    every = materialise(long.join(candidates, "id", "left_semi"), "candidates")
     keyed = lambda df: df.select("*", F.explode(F.array_distinct(own_keys())).alias("key"))
-    wanted = keyed(open_).select("key").distinct()
+    wanted = keyed(every).select("key").distinct()
     probes = materialise(long.select("id", F.explode(probe_keys()).alias("key")).join(wanted, "key", "left_semi").select("id", "key"), "probes")
-    found = None
+    found, rest, open_ = None, every, every
     for _ in range(rounds):
         heaviest = F.max(F.struct("pages", "form", "id", "source_document")).alias("m")
         leaders = keyed(open_).groupBy("key").agg(heaviest).select("key", "m.*")
         got = materialise(_pairs(leaders, probes, long), "pairs")
         lighter = (F.col("pages") < F.col("c_pages")) | ((F.col("pages") == F.col("c_pages")) & (F.col("id") != F.col("c_id")))
-        settled = got.where(lighter).select("id").union(leaders.groupBy("id").agg(F.count("*").alias("leads")).join(keyed(open_).groupBy("id").agg(F.count("*").alias("keys")), "id").where("leads = keys").select("id"))
-        open_ = materialise(open_.join(settled.distinct(), "id", "left_anti"), "open")
+        # a leader of all its keys has met all its variants
+        whole = materialise(leaders.groupBy("id").agg(F.count("*").alias("leads")).join(keyed(open_).groupBy("id").agg(F.count("*").alias("keys")), "id").where("leads = keys").select("id"), "whole")
+        open_ = materialise(open_.join(got.where(lighter).select("id").union(whole).distinct(), "id", "left_anti"), "open")
         found = got if found is None else found.unionByName(got)
-    rest = _pairs(keyed(open_), probes, long)
-    pairs = materialise(found.unionByName(rest).select("c_id", "id", "pages").distinct(), "verified")
-    heavy = pairs.groupBy("c_id").agg(F.sum("pages").alias("most")).where(F.col("most") >= min_pages).select("c_id")
-    members = pairs.join(heavy, "c_id", "left_semi").select("c_id", "id")
-    where = on_pages.select(F.xxhash64("source_document", "form").alias("id"), "page_number")
-    centres = members.join(where, "id").select("c_id", "page_number").distinct().groupBy("c_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    ids = members.join(centres, "c_id", "left_semi").select("id").union(forms.where(F.col("pages") >= min_pages).select("id")).distinct()
+        rest = rest.join(whole, "id", "left_anti")
+    own_ids = forms.where(F.col("pages") >= min_pages).select("id")
+    ids = own_ids
+    if found is not None:
+        ids = materialise(own_ids.union(_confirmed(found.select("c_id", "id", "pages").distinct(), on_pages, min_pages)).distinct(), "confirmed")
+    rest = materialise(rest, "rest")
+    reach = _pairs(keyed(rest), probes.join(ids, "id", "left_anti"), long).select(F.col("c_id").alias("id")).distinct()
+    pairs = materialise(_pairs(keyed(rest.join(reach, "id", "left_semi")), probes, long).select("c_id", "id", "pages").distinct(), "verified")
+    ids = ids.union(_confirmed(pairs, on_pages, min_pages)).distinct()
     return forms.join(ids, "id", "left_semi").select("source_document", "form")
 
 
