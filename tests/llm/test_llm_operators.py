@@ -238,6 +238,19 @@ def test_line_model_is_proper():
     assert scans.viterbi([], (begin, move, emit)) == []
 
 
+def test_line_model_is_fitted_on_all_pages(spark):
+    kinds = [["Of Home", "the text", "so it was", "12"], ["the text", "so it was,"], ["7", "NOTES SENT", "the text"]]
+    pages = [[line.split() for line in kinds[0 if i % 5 else 1 + i % 2]] for i in range(2500)]
+    df = spark.createDataFrame([("d", p, n, i, w, 0.9, 1, "s") for p, lines in enumerate(pages) for n, line in enumerate(lines, 1) for i, w in enumerate(line, 1)], WORDS)
+    want = scans.fit([scans.symbols(page) for page in pages])
+    ruled_out = scans.symbols([["4"], ["5"], ["the", "text"], ["it", "was"]])
+    assert all((x == y).all() for x, y in zip(want, scans.fit([scans.symbols(page) for page in pages] + [ruled_out] * 9)))
+    for x, y in zip(scans.page_model(scans.page_rows(df)), want):
+        assert abs(x - y).max() < 1e-9
+    for x, y in zip(scans.page_model(scans.page_rows(df.where("false"))), scans.start_values()):
+        assert abs(x - y).max() == 0
+
+
 # Reading levels
 
 

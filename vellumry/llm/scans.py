@@ -3,7 +3,8 @@
 Lines are labelled by a hidden Markov model over each page, top to bottom, with the states header, number, body and break
 (a heading between text lines). A line is seen as a symbol of shape and place: number only, title (capitalised words,
 perhaps with a number) or prose; first, second, last or other line. Start values say what each state looks like; Baum-Welch
-fits them on ``SAMPLE_PAGES`` pages at most (chosen by hash), Viterbi labels every page. A page is the unit of work.
+fits them on all pages (distinct sequences of symbols with their counts, expected counts summed over tasks), Viterbi labels
+every page. A page is the unit of work.
 
 Words are judged by type, in tables of distinct words: the lexicon counts words in the middle of body lines, where no word
 is cut. A cut word joins the end of a body line with the start of the next body line, overleaf too. A misread word
@@ -29,7 +30,7 @@ from vellumry.scale import materialise
 STATES = ["header", "number", "body", "break"]
 SHAPES = ["number", "title", "prose"]
 PLACES = ["first", "second", "last", "other"]
-SAMPLE_PAGES = 2000
+ROUNDS = 8
 #: Marks that a cut word can end with.
 CUT_MARKS = "-¬‐­=‑~"
 _CUT_END = "[" + "".join("\\" + m if m in "-~" else m for m in CUT_MARKS) + "]$"
@@ -74,35 +75,59 @@ def start_values() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin, move, emit.reshape(len(STATES), -1)
 
 
-def fit(sequences: list[list[int]], rounds: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch; what is impossible at the start stays so."""
-    begin, move, emit = start_values()
-    sequences = [s for s in sequences if s]
-    for _ in range(rounds if sequences else 0):
-        b, m, e = (PRIOR_PAGES * x for x in start_values())
-        for s in sequences:
-            n = len(s)
-            alpha, scale = np.zeros((n, len(STATES))), np.zeros(n)
-            for i, o in enumerate(s):
-                a = (begin if i == 0 else alpha[i - 1] @ move) * emit[:, o]
-                scale[i] = a.sum() or 1e-300
-                alpha[i] = a / scale[i]
-            beta = np.ones(len(STATES))
-            for i in range(n - 1, -1, -1):
-                gamma = alpha[i] * beta
-                gamma /= gamma.sum() or 1.0
-                e[:, s[i]] += gamma
-                if i == 0:
-                    b += gamma
-                else:
-                    back = emit[:, s[i]] * beta / scale[i]
-                    m += alpha[i - 1][:, None] * move * back[None, :]
-                    beta = move @ back
-        begin, move, emit = b / b.sum(), m / m.sum(axis=1, keepdims=True), e / e.sum(axis=1, keepdims=True)
-    return begin, move, emit
-
-
-def viterbi(s: list[int], model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[int]:
+Model = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def expected(sequences: list[tuple[list[int], float]], model: Model) -> Model:
+    """Expected numbers of starts, moves and emissions over ``(symbols, pages)``, worked out for all of one length at once.
+
+    A page that the model rules out has no expected numbers and adds nothing.
+    """
+    begin, move, emit = model
+    b, m, e = (np.zeros_like(x) for x in model)
+    by_length: dict[int, list[tuple[list[int], float]]] = {}
+    for s, pages in sequences:
+        if s:
+            by_length.setdefault(len(s), []).append((s, pages))
+    for n, group in by_length.items():
+        seen, weight = np.array([s for s, _ in group]), np.array([[float(w)] for _, w in group])
+        alpha, scale = [], []
+        for i in range(n):
+            a = (begin if i == 0 else alpha[-1] @ move) * emit.T[seen[:, i]]
+            total = a.sum(axis=1, keepdims=True)
+            weight = weight * (total > 0)
+            scale.append(np.where(total > 0, total, 1.0))
+            alpha.append(a / scale[-1])
+        beta = np.ones((len(group), len(STATES)))
+        for i in range(n - 1, -1, -1):
+            gamma = alpha[i] * beta
+            total = gamma.sum(axis=1, keepdims=True)
+            gamma = weight * gamma / np.where(total > 0, total, 1.0)
+            np.add.at(e.T, seen[:, i], gamma)
+            if i == 0:
+                b += gamma.sum(axis=0)
+            else:
+                back = emit.T[seen[:, i]] * beta / scale[i]
+                m += move * ((weight * alpha[i - 1]).T @ back)
+                beta = back @ move.T
+    return b, m, e
+
+
+def refit(counts: Model) -> Model:
+    """The model of expected counts, with ``PRIOR_PAGES`` of the start; what is impossible at the start stays so."""
+    b, m, e = (PRIOR_PAGES * x + y for x, y in zip(start_values(), counts))
+    return b / b.sum(), m / m.sum(axis=1, keepdims=True), e / e.sum(axis=1, keepdims=True)
+
+
+def fit(sequences: list[list[int]], rounds: int = ROUNDS) -> Model:
+    """Baum-Welch on the driver."""
+    model = start_values()
+    for _ in range(rounds if any(sequences) else 0):
+        model = refit(expected([(s, 1.0) for s in sequences], model))
+    return model
+
+
+def viterbi(s: list[int], model: Model) -> list[int]:
     if not s:
         return []
     with np.errstate(divide="ignore"):
@@ -138,20 +163,33 @@ def page_lines(at) -> list[tuple[int, list[tuple[int, str]]]]:
     return out
 
 
-def sample_model(pages: DataFrame, sample: int = SAMPLE_PAGES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The fitted model; at most ``sample`` pages, the ones of the smallest hash, are read for it."""
-    # the smallest hashes lie below this bound, which spares the other pages the sort
-    below = min(1.0, 2 * (sample + 50) / max(1, pages.count()))
-    key = F.xxhash64("source_document", "page_number")
-    near = pages.select("at", key.alias("h")).where(F.col("h") <= int((below - 0.5) * ((1 << 64) - 2048)))
-    some = near.orderBy("h").limit(sample)
+def page_model(pages: DataFrame, rounds: int = ROUNDS) -> Model:
+    """Baum-Welch over all pages; each round brings one sum for each value of the model to the driver, 68 numbers."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             made = [",".join(map(str, symbols([[w for _, w in ws] for _, ws in page_lines(at)]))) for at in pdf["at"]]
             yield pd.DataFrame({"s": pd.Series(made, dtype="object")})
 
-    return fit([[int(x) for x in r["s"].split(",") if x] for r in some.select("at").mapInPandas(run, "s string").collect()])
+    each = pages.select("at").mapInPandas(read, "s string").where("s <> ''")
+    distinct = materialise(each.groupBy("s").agg(F.count("*").alias("pages")), "sequences")
+    model = start_values()
+    shapes = [x.shape for x in model]
+    ends = np.cumsum([x.size for x in model])
+    for _ in range(rounds):
+
+        def step(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                counts = expected([([int(x) for x in s.split(",")], n) for s, n in zip(pdf["s"], pdf["pages"])], model)
+                flat = np.concatenate([x.ravel() for x in counts])
+                yield pd.DataFrame({"i": np.arange(len(flat), dtype="int32"), "v": flat})
+
+        sums = {r["i"]: r["v"] for r in distinct.mapInPandas(step, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()}
+        if not sums:
+            return model
+        flat = np.array([sums[i] for i in range(ends[-1])])
+        model = refit(tuple(x.reshape(shape) for x, shape in zip(np.split(flat, ends[:-1]), shapes)))
+    return model
 
 
 def core_of(word: str) -> str:
@@ -161,7 +199,7 @@ def core_of(word: str) -> str:
 TOKENS = "source_document string, page_number long, line_number long, word_number long, content string, core string, state string, place string, next_word string, next_line long, next_word_number long"
 
 
-def label(pages: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
+def label(pages: DataFrame, model: Model) -> DataFrame:
     """One row for each word with its line's state.
 
     ``place`` is mid, first, last or only within the line. A line's last word carries the first word of the next body line
@@ -296,7 +334,7 @@ def misread_types(tokens: DataFrame, lexicon: DataFrame, broken: DataFrame) -> D
 def analyse(words: DataFrame) -> dict[str, DataFrame]:
     """Labelled tokens, broken words and misread types, each computed once."""
     pages = materialise(page_rows(words), "pages")
-    tokens = materialise(label(pages, sample_model(pages)), "tokens")
+    tokens = materialise(label(pages, page_model(pages)), "tokens")
     lexicon = materialise(lexicon_of(tokens), "lexicon")
     broken = materialise(broken_words(tokens, lexicon), "broken")
     return {"tokens": tokens, "broken": broken, "misread": materialise(misread_types(tokens, lexicon, broken), "types")}
