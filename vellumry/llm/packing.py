@@ -1,11 +1,11 @@
-"""Best-fit filling of fixed-capacity containers, in bulk-synchronous rounds over runs of equal size.
+"""Best-fit-decreasing filling of fixed-capacity containers, planned on the driver over runs of equal size.
 
 Sizes and gaps are whole numbers up to the capacity. Items of one size can't be told apart by a best-fit rule, nor can
-containers of one gap, so the rounds work on runs: (size, range of ranks) for items and (gap, range of container
-numbers) for containers. Round by round, from the largest size down: the run of items is matched with the sorted gaps by
-successor search, items beyond a run's room go on to the next gap by rank, gaps are updated, and what finds no gap opens
-new containers. The round state is bounded by the capacity, not by the data; the data take part in one histogram, one
-salted ranking and one join.
+containers of one gap, so the plan works on runs: (size, range of ranks) for items and (gap, range of container
+numbers) for containers. One sequential loop on the driver, from the largest size down: the run of items is matched with
+the sorted gaps by successor search, items beyond a run's room go on to the next gap by rank, gaps are updated, and what
+finds no gap opens new containers. No sweep is distributed: the plan reads a histogram of at most as many sizes as the
+capacity, and the data take part in that histogram, one salted ranking and one join.
 
 Defined results: items of size 0 or null take no room and get a null container; a negative size is an error; an item
 above the capacity is cut into full pieces and one rest; repeated (key, size) rows count once.
