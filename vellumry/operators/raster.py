@@ -96,7 +96,7 @@ def mask(images: DataFrame, key: str, width: int, height: int) -> DataFrame:
 
 
 def clean(images: DataFrame, key: str, width: int, height: int) -> DataFrame:
-    """The cleaning chain: median, contrast, threshold."""
+    """Median, contrast and threshold of grey images; the chain's grey conversion before and deskew after are not part of it."""
     smooth = median3(images, key, width, height)
     return binarise(smooth.select(key, contrast(F.col("image")).alias("image")), key, width, height)
 
