@@ -110,5 +110,21 @@ def lag_in_groups(df: DataFrame, group: str, at: str, order: list[str], values:
     return joined.withColumns({f"prev_{v}": F.when(F.col("_rn") == 1, F.col(f"_out_{v}")).otherwise(F.col(f"_in_{v}")) for v in values}).drop("_g", "_b", "_bucket", "_rn", *[f"_in_{v}" for v in values], *[f"_out_{v}" for v in values])
 
 
+def carry_in_groups(df: DataFrame, group: str, at: str, value: str, bucket: Column) -> DataFrame:
+    """``df`` with ``before_<value>``: the last ``value`` that isn't null in an earlier row of the group, by ``at``.
+
+    In two levels like ``lag_in_groups``: within a bucket (a coarsening of ``at``), then over one row for each bucket.
+    """
+    out = f"before_{value}"
+    own = Window.partitionBy(group, "_bucket").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_bucket", bucket).withColumn("_own", F.last(value, ignorenulls=True).over(own))
+    last = rows.where(F.col(value).isNotNull()).groupBy(group, "_bucket").agg(F.max_by(value, at).alias("_last"))
+    spans = rows.select(group, "_bucket").distinct().join(last, [group, "_bucket"], "left")
+    over = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spans.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"), F.last("_last", ignorenulls=True).over(over).alias("_carried"))
+    joined = rows.join(carried, F.col(group).eqNullSafe(F.col("_g")) & F.col("_bucket").eqNullSafe(F.col("_b")))
+    return joined.withColumn(out, F.coalesce("_own", "_carried")).drop("_g", "_b", "_bucket", "_own", "_carried")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
