@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from vellumry.llm import levels, packing, queries, repeats, scans, tokens
+from vellumry.llm import line_model as lm
 
 
 def rows(df):
@@ -210,8 +211,49 @@ def test_faults_of_a_scan(spark):
     wrong = {("d", 4, 2, 4, "misread_word"), ("d", 4, 4, 2, "misread_word"), ("d", 4, 5, 4, "misread_word"), ("d", 4, 7, 3, "misread_word")}
     assert got - wrong == heads | numbers | cut
     assert {("d", 4, 4, 2, "misread_word"), ("d", 4, 5, 4, "misread_word"), ("d", 4, 7, 3, "misread_word")} <= got
-    text = {(r["page_number"], r["part"]): (r["new_paragraph"], r["text"]) for r in scans.paragraphs(df).collect()}
-    assert text[3, 0][1].endswith("opened the window") and text[4, 0][1].startswith("of the") and text[4, 1][0] and "the visitor and the envelope" in text[4, 1][1]
+    text = {(r["first_page"], r["first_line"]): r["text"] for r in scans.paragraphs(df).collect()}
+    assert set(text) == {(1, 2), (4, 4)}
+    assert "a gentle brother described the orchard and the lay-brother opened the window of the remarkable" not in text[1, 2]
+    assert "opened the window of the" in text[1, 2] and "visitor and the envelope" in text[4, 4]
+
+
+BOXES = WORDS + ", x0 double, y0 double, x1 double, y1 double"
+
+
+def boxed(document, pages, indent=0.0):
+    """Words of ``{page: [line, ...]}`` with boxes; a line that begins with ``>`` is indented."""
+    out = []
+    for p, lines in pages.items():
+        for n, line in enumerate(lines, 1):
+            x = 1.0 + (indent if line.startswith(">") else 0.0)
+            for i, w in enumerate(line.lstrip(">").split(" "), 1):
+                out.append((document, p, n, i, w, 0.95, 1, "s", x, 0.8 + n * 0.25, x + 0.08 * len(w), 0.95 + n * 0.25))
+                x += 0.08 * (len(w) + 1)
+    return out
+
+
+def test_paragraphs_within_and_over_pages(spark):
+    full = "the remarkable visitor received an envelope from the old doorkeeper"
+    pages = {
+        7: ["Letters Of The House", full, full, "and so it ended.", "> A second paragraph began with the visitor and the", full, "7"],
+        8: ["Letters Of The House", full, "which then closed.", "Then a third one opened for the remarkable visitor", "8"],
+        9: ["Letters Of The House", "Another one opened after the turn of the page and the", full, "NOTES FROM ABROAD", "the text went on below the heading", "9"],
+        11: ["Letters Of The House", full, "11"],
+    }
+    pages[8][3] = "Then a third one opened and it soon closed."
+    df = spark.createDataFrame(boxed("d", pages, 0.3) + boxed("e", {3: [full, full]}), BOXES)
+    got = {(r["source_document"], r["first_page"], r["first_line"]): (r["last_page"], r["text"]) for r in scans.paragraphs(df).collect()}
+    assert set(got) == {("d", 7, 2), ("d", 7, 5), ("d", 8, 4), ("d", 9, 2), ("d", 9, 5), ("d", 11, 2), ("e", 3, 1)}
+    assert got["d", 7, 2] == (7, f"{full} {full} and so it ended.")
+    assert got["d", 7, 5] == (8, f"A second paragraph began with the visitor and the {full} {full} which then closed.")
+
+
+def test_the_last_delivery_of_a_word_counts(spark):
+    schema = "source_document string, page_number long, line_number long, word_number long, content string, ingested_at timestamp"
+    from datetime import datetime
+
+    df = spark.createDataFrame([("d", 1, 1, 1, "a", datetime(2024, 1, 1)), ("d", 1, 1, 1, "z", datetime(2024, 1, 2)), ("d", 1, 1, 1, "b", None), ("d", 1, 1, 2, "y", None)], schema)
+    assert [(x["line_number"], x["text"]) for x in scans.page_rows(df).first()["lines"]] == [(1, "z y")]
 
 
 def test_scans_of_nothing(spark):
@@ -224,31 +266,46 @@ def test_misreadings_are_found_at_every_size(spark, times):
     right = {"with": 2454, "visitor": 600, "water": 900, "doctor": 500, "horse": 400, "morning": 500, "that": 2000, "for": 3291, "far": 138}
     wrong = {"wifh": 20, "visifor": 3, "wafer": 5, "docfor": 3, "harse": 2, "marning": 2, "dactor": 2, "w|th": 100}
     counts = spark.createDataFrame([(w, n * times) for w, n in (right | wrong).items()], "core string, n int")
-    each = counts.selectExpr("core", "explode(sequence(1, n)) AS i").selectExpr("core AS source_document", "cast(i AS long) AS page_number", "1L AS line_number", "1L AS word_number", "core AS content", "core", "'body' AS state", "'mid' AS place")
+    each = counts.selectExpr("core", "explode(sequence(1, n)) AS i").selectExpr("core AS source_document", "cast(i AS long) AS page_number", "1L AS line_number", "1L AS word_number", "core AS content", "core", "'mid' AS place", "false AS unsure")
     broken = spark.createDataFrame([], "source_document string, page_number long, line_number long, word_number long, next_page long, next_line long, next_word_number long")
     got = {r["core"]: r["word"] for r in scans.misread_types(each, scans.lexicon_of(each), broken).collect()}
     assert got == {"wifh": "with", "visifor": "visitor", "wafer": "water", "docfor": "doctor", "harse": "horse", "marning": "morning", "dactor": "doctor", "w|th": "with"}
 
 
+def codes(page):
+    return lm.codes_of([" ".join(words) for words in page])
+
+
 def test_line_model_is_proper():
-    begin, move, emit = scans.fit([scans.symbols([["Letters", "Of", "Home"], ["the", "text"], ["the", "text"], ["12"]])] * 30)
-    for x in (begin, *move, *emit):
+    model = lm.fit([codes([["Letters", "Of", "Home"], ["the", "text"], ["the", "text"], ["12"]])] * 30)
+    for x in (model[0], *model[1], *[row for table in model[2] for row in table]):
         assert abs(x.sum() - 1) < 1e-9
-    assert [scans.STATES[s] for s in scans.viterbi(scans.symbols([["—", "l2", "—"], ["NOTES", "SENT"], ["so", "it", "was,"], ["VISITS", "ABROAD"], ["and", "is"]]), (begin, move, emit))] == ["number", "header", "body", "break", "body"]
-    assert scans.viterbi([], (begin, move, emit)) == []
+    page = codes([["—", "l2", "—"], ["NOTES", "SENT"], ["so", "it", "was,"], ["VISITS", "ABROAD"], ["and", "is"]])
+    assert [lm.STATES[s] for s in lm.viterbi(page, model)] == ["number", "header", "body", "break", "body"]
+    assert lm.viterbi([], model) == [] and (lm.unpack_code(lm.pack_code(lm.unpack_code(lm.np.array(page)))) == lm.unpack_code(lm.np.array(page))).all()
+
+
+def test_layout_features_of_lines():
+    texts = ["Letters Of The House", "the text of a line that goes on.", "Another line", "the end"]
+    geo = lm.np.array([[3, 1, 5, 1.2, 0.2, 0, 0.7], [1, 1.9, 7, 2.1, 0.2, 0, 0.3], [1.4, 2.15, 3, 2.35, 0.2, 1, 0.5], [float("nan")] * 7])
+    got = lm.page_features(texts, geo)
+    assert got[0].tolist() == [4, -1, 1, 2, 0, 1, 1, 1, -1]  # first, gap below, deep, short, usual height, centred, sure
+    assert got[1, 1:].tolist() == [1, 0, 0, 2, 1, 0, 1, -1] and got[2, 3] == 1 and got[2, 7] == 0 and got[2, 8] == 1
+    assert got[3, 1:8].tolist() == [-1] * 7
 
 
 def test_line_model_is_fitted_on_all_pages(spark):
     kinds = [["Of Home", "the text", "so it was", "12"], ["the text", "so it was,"], ["7", "NOTES SENT", "the text"]]
     pages = [[line.split() for line in kinds[0 if i % 5 else 1 + i % 2]] for i in range(2500)]
     df = spark.createDataFrame([("d", p, n, i, w, 0.9, 1, "s") for p, lines in enumerate(pages) for n, line in enumerate(lines, 1) for i, w in enumerate(line, 1)], WORDS)
-    want = scans.fit([scans.symbols(page) for page in pages])
-    ruled_out = scans.symbols([["4"], ["5"], ["the", "text"], ["it", "was"]])
-    assert all((x == y).all() for x, y in zip(want, scans.fit([scans.symbols(page) for page in pages] + [ruled_out] * 9)))
-    for x, y in zip(scans.page_model(scans.page_rows(df)), want):
-        assert abs(x - y).max() < 1e-9
-    for x, y in zip(scans.page_model(scans.page_rows(df.where("false"))), scans.start_values()):
-        assert abs(x - y).max() == 0
+    rows_ = scans.page_rows(df)
+    got = lm.fit_pages(rows_.select(lm.line_codes(rows_["lines"]).alias("codes")))
+    sure = [lm.codes_of([" ".join(w) for w in page], lm.np.array([[float("nan")] * 5 + [0.0, float("nan")]] * len(page))) for page in pages]
+    ruled_out = codes([["4"], ["5"], ["the", "text"], ["it", "was"]])
+    assert abs(lm.flat(got) - lm.flat(lm.fit(sure))).max() < 1e-9
+    assert (lm.flat(lm.fit(sure)) == lm.flat(lm.fit(sure + [ruled_out] * 9))).all()
+    empty = scans.page_rows(df.where("false"))
+    assert abs(lm.flat(lm.fit_pages(empty.select(lm.line_codes(empty["lines"]).alias("codes")))) - lm.flat(lm.start_values())).max() == 0
 
 
 # Reading levels
