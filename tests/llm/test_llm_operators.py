@@ -130,7 +130,7 @@ def brute(lines):
         if s is not None and p is not None and c is not None and (f := "".join(ch for ch in c.lower() if ch.isalpha())):
             form.setdefault((s, p, n), set()).add(f)
     texts = {(k[0], f, k[1]) for k, fs in form.items() for f in fs}
-    near = lambda a, b: a == b or (min(len(a), len(b)) >= repeats.SHORT and edits(a, b) <= repeats.EDITS)
+    near = lambda a, b: edits(a, b) <= repeats.EDITS
     good = set()
     for s, f in {(s, f) for s, f, _ in texts}:
         if len({p for s2, g, p in texts if s2 == s and near(f, g)}) >= repeats.MIN_PAGES:
@@ -171,20 +171,28 @@ def test_light_centres_of_heavier_misreadings(spark):
     assert rows(repeats.repeated_lines(spark.createDataFrame(lines, LINES))) == brute(lines)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_light_notices_against_all_pairs(spark, seed):
+@pytest.mark.parametrize("seed, letters, lengths, most", [(0, "abcdef", (1, 13), 256), (1, "abcdefghiмно", (9, 16), 256), (2, "abcdefgh", (28, 38), 3), (3, "abcdefgh", (14, 30), 1)])
+def test_light_notices_against_all_pairs(spark, seed, letters, lengths, most):
     rnd = random.Random(seed)
-    notices = ["".join(rnd.choice("abcdef") for _ in range(rnd.randrange(8, 22))) for _ in range(12)]
+    notices = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(*lengths))) for _ in range(12)]
 
     def noisy(t, most):
         t = list(t)
         for _ in range(rnd.randrange(most + 1)):
-            i = rnd.randrange(len(t))
-            t[i : i + 1] = rnd.choice(["", "q", t[i] + "z"])
+            i = rnd.randrange(len(t) or 1)
+            t[i : i + 1] = rnd.choice(["", "q", *[x + "z" for x in t[i : i + 1]]])
         return "".join(t)
 
     lines = [(s, p, n, noisy(notices[rnd.randrange(12)], 4), 0.5, "x", 1, 1, 1) for s in "ab" for p in range(1, 36) for n in range(1, 4)]
-    assert rows(repeats.repeated_lines(spark.createDataFrame(lines, LINES))) == brute(lines)
+    forms = repeats.line_forms(spark.createDataFrame(lines, LINES))
+    drop = repeats.repeated_forms(forms, most=most)
+    assert rows(forms.join(drop, ["source_document", "form"], "left_semi").select("source_document", "page_number", "line_number").distinct()) == brute(lines)
+
+
+def test_summaries_are_bounded_and_hold_the_heavy(spark):
+    lines = spark.range(20_000).selectExpr("'a' AS source_document", "id AS page_number", "if(id % 4 = 0, 'the notice', concat('text ', translate(id, '0123456789', 'abcdefghij'))) AS form")
+    assert repeats.leaders(lines, tracked=64, most=8).where("id = xxhash64('a', 'the notice')").count() == 1
+    assert len(repeats.summaries(lines, 64).first()["summary"]["sketch"]) < 64 * 40
 
 
 # Scanned pages

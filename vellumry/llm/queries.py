@@ -64,7 +64,7 @@ P4_SQL = r"""
 WITH l AS (SELECT DISTINCT source_document AS s, page_number AS p, line_number AS n, lower(regexp_replace(content, '[^\p{L}]', '', 'g')) AS f FROM ocr_lines
  WHERE source_document IS NOT NULL AND page_number IS NOT NULL),
 f AS (SELECT DISTINCT s, f, p FROM l WHERE f <> ''), u AS (SELECT DISTINCT s, f FROM f),
-d AS (SELECT x.s, x.f AS x, y.f AS y FROM u x JOIN u y ON x.s = y.s AND (x.f = y.f OR (length(x.f) >= 8 AND length(y.f) >= 8 AND abs(length(x.f) - length(y.f)) <= 2 AND levenshtein(x.f, y.f) <= 2))),
+d AS (SELECT x.s, x.f AS x, y.f AS y FROM u x JOIN u y ON x.s = y.s AND abs(length(x.f) - length(y.f)) <= 2 AND levenshtein(x.f, y.f) <= 2),
 c AS (SELECT d.s, d.x FROM d JOIN f ON f.s = d.s AND f.f = d.y GROUP BY 1, 2 HAVING count(DISTINCT f.p) >= 6),
 k AS (SELECT DISTINCT d.s, d.y FROM d JOIN c ON c.s = d.s AND c.x = d.x)
 SELECT DISTINCT l.s AS source_document, l.p AS page_number, l.n AS line_number FROM l JOIN k ON k.s = l.s AND k.y = l.f"""

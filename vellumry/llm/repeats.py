@@ -4,68 +4,73 @@ Two lines say the same if their letters, in lower case, are at most ``EDITS`` ed
 digits don't count. A text that stands on at least ``MIN_PAGES`` different pages of its source is dropped from all of
 them. Distinct texts are worked on, with the number of pages of each; copies are never paired.
 
-1. Summary. Each text probes keys made of two of its four quarters, as they stand in any text it could be a misreading
-   of. The pages behind each key are added up: a count sketch per source (the source is hashed into the key), mergeable
-   by addition, that never counts too few. Of two texts within two edits, some pair of quarters is untouched, so the keys
-   of a text bound the pages of all its variants from above. Texts whose bound is below the threshold are done with.
-2. Leaders. Of the texts behind a key the heaviest (on most pages) is compared with the texts that probe the key; the
-   next of the ``ROUNDS`` finds the leaders of what no leader reaches. This confirms most texts at the price of few pairs.
-3. All other centres. Every candidate is a centre, however light. One whose variants are all confirmed adds nothing; so the
-   candidates are compared with the unconfirmed texts that probe their keys, and those that reach any are counted in full.
-4. Exact second pass. Distances are checked on the texts, pages are counted distinct over all variants of a centre, and
-   lines of confirmed texts are removed by a join with the set of these texts.
-
-Defined results: null or letterless content, and rows without source or page, are never reported. Texts of fewer than
-``SHORT`` letters count only as they are. Repeated rows and several occurrences on one page count once.
+1. Summary. Each source gets a heavy-hitter summary of at most ``TRACKED`` counters. Summaries are built by part of a source
+   and merged, so a hot source is summed by many tasks. The ``LEADERS`` heaviest texts of each become its first candidates.
+2. Exact second pass. Each leader is compared with the texts it shares a key with; the pages of all texts within two edits
+   are counted distinct. A leader with enough pages confirms all of them.
+3. The rest. A threshold of six pages is absolute, while the error of a bounded summary grows with the source; so whatever
+   the summaries leave out is settled exactly. Sums of pages behind each key bound the pages of a text's variants from
+   above; texts whose bound is too low are done with. Every other one is a centre in its own right, however light; one
+   whose variants are all confirmed adds nothing, the others are counted in full as in step 2.
+4. Removal. The confirmed texts are broadcast if their size, which is measured, is at most ``BROADCAST_BYTES``; else they are
+   joined by shuffle.
+
+Keys. Two texts within two edits share one, and nothing depends on where in the text the edits are. Texts of up to 12 letters
+have the strings left by taking out up to two letters. Longer ones have what is left of their letters in each of five
+classes (an edit touches at most two classes), those of up to 34 letters in each two of six. Lengths overlap by two.
+
+Defined results: null or letterless content, and rows without source or page, are never reported. Texts of one or two letters
+are all within two edits of each other, as the definition has it. Repeated rows and several occurrences on one page count once.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+from string import ascii_lowercase
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellumry.scale import materialise
+from vellumry.scale import materialise, salt
 
 MIN_PAGES = 6
 EDITS = 2
-SHORT = 8
-ROUNDS = 2
+#: Counters of a source's summary, and how many of its texts are tried as leaders.
+TRACKED, LEADERS = 1024, 256
+#: Parts of a source that are summed on their own.
+SALTS = 16
+BROADCAST_BYTES = 32 << 20
+_SHORT, _MIDDLE = 12, 34
 
 
 def letters(content: Column) -> Column:
     return F.lower(F.regexp_replace(content, r"[^\p{L}]", ""))
 
 
-def _key(kind: str, *parts: Column) -> Column:
-    return F.xxhash64(F.col("source_document"), F.lit(kind), *parts)
-
-
-def _cut(start: Column, n: Column) -> Column:
-    """``n`` letters of the form from 0-based ``start``; starts outside give other letters, which do no harm."""
-    return F.substr(F.col("form"), (start + 1).cast("int"), n.cast("int"))
-
+def _within(classes: tuple[int, ...], n: int) -> Column:
+    """The letters of ``form`` whose code point modulo ``n`` is among ``classes``, in order."""
+    others = "".join(ch for ch in ascii_lowercase if ord(ch) % n not in classes)
+    any_script = F.array_join(F.filter(F.split("form", ""), lambda ch: (F.ascii(ch) % n).isin(list(classes))), "")
+    return F.when(F.col("form").rlike("[^a-z]"), any_script).otherwise(F.translate("form", others, ""))
 
-def own_keys() -> Column:
-    """Keys of a text as a centre: pairs of its quarters A B C D, C and D counted from the end."""
-    n, q = F.length("form"), F.floor(F.length("form") / 4)
-    a, b, c, d = _cut(F.lit(0), q), _cut(q, q), _cut(n - q * 2, q), _cut(n - q, q)
-    return F.array(_key("ab", a, b), _key("cd", c, d), _key("ad", a, d), _key("ac", a, c), _key("bd", b, d), _key("bc", b, c))
 
+def _without() -> Column:
+    """The strings that taking up to two letters out of ``form`` leaves."""
+    once = "transform(sequence(1, length(form)), i -> concat(substr(form, 1, i - 1), substr(form, i + 1)))"
+    twice = """flatten(transform(sequence(1, length(form) - 1), i -> transform(sequence(i + 1, length(form)), j ->
+ concat(substr(form, 1, i - 1), substr(form, i + 1, j - i - 1), substr(form, j + 1)))))"""
+    return F.expr(f"concat(array(form), {once}, if(length(form) > 1, {twice}, array()))")
 
-def probe_keys() -> Column:
-    """Keys under which a centre within two edits would have this text.
 
-    A quarter keeps its place unless an edit stands between it and its end of the text, and then it moves by one at most
-    (two edits at one side leave the other side's pair untouched).
-    """
+def keys() -> Column:
+    key = lambda kind, x: F.xxhash64(F.col("source_document"), F.lit(kind), x)
     n = F.length("form")
-    keys = []
-    for q in (F.floor((n - EDITS) / 4), F.floor((n + EDITS) / 4)):
-        a, d = _cut(F.lit(0), q), _cut(n - q, q)
-        bs, cs = [_cut(q + s, q) for s in (0, -1, 1)], [_cut(n - q * 2 + s, q) for s in (0, -1, 1)]
-        keys += [_key("ab", a, bs[0]), _key("cd", cs[0], d), _key("ad", a, d)]
-        keys += [_key("ac", a, c) for c in cs] + [_key("bd", b, d) for b in bs] + [_key("bc", b, c) for b in bs for c in cs]
-    return F.array_distinct(F.array(*keys))
+    none = F.array().cast("array<bigint>")
+    short = F.when(n <= _SHORT, F.transform(_without(), lambda x: key("out", x))).otherwise(none)
+    pairs = [key(f"{a}{b}", _within((a, b), 6)) for a, b in combinations(range(6), 2)]
+    middle = F.when((n >= _SHORT - 1) & (n <= _MIDDLE), F.array(*pairs)).otherwise(none)
+    long = F.when(n >= _MIDDLE - 1, F.array(*[key(f"{a}", _within((a,), 5)) for a in range(5)])).otherwise(none)
+    return F.array_distinct(F.concat(short, middle, long))
 
 
 def line_forms(lines: DataFrame) -> DataFrame:
@@ -73,66 +78,77 @@ def line_forms(lines: DataFrame) -> DataFrame:
     return rows.where("source_document is not null and page_number is not null and form <> ''")
 
 
-def _pairs(centres: DataFrame, probes: DataFrame, forms: DataFrame) -> DataFrame:
-    """Verified ``c_id, c_form, c_pages, id, pages``: texts within ``EDITS`` of a centre that shares a key."""
-    met = probes.join(centres.select("key", F.col("id").alias("c_id"), F.col("form").alias("c_form"), F.col("source_document").alias("c_source"), F.col("pages").alias("c_pages")), "key").drop("key").distinct()
-    both = met.join(forms, "id").where(F.col("source_document") == F.col("c_source"))
-    return both.where(F.levenshtein("form", "c_form", EDITS) >= 0).select("c_id", "c_form", "c_pages", "id", "pages")
+def summaries(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """``source_document, summary``: a mergeable heavy-hitter summary of bounded size for each source."""
+    parts = rows.groupBy("source_document", salt(SALTS, "page_number").alias("part")).agg(F.expr(f"approx_top_k_accumulate(form, {tracked})").alias("summary"))
+    return parts.groupBy("source_document").agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
+
+
+def leaders(rows: DataFrame, tracked: int = TRACKED, most: int = LEADERS) -> DataFrame:
+    """``id`` of the heaviest texts of each source by its summary; texts seen once are no leaders."""
+    top = summaries(rows, tracked).select("source_document", F.explode(F.expr(f"approx_top_k_estimate(summary, {most})")).alias("t"))
+    return top.where("t.count > 1").select(F.xxhash64("source_document", F.col("t.item")).alias("id")).distinct()
 
 
-def _confirmed(pairs: DataFrame, on_pages: DataFrame, min_pages: int) -> DataFrame:
-    """``id`` of all variants of centres whose variants stand on ``min_pages`` different pages."""
+def _pairs(centres: DataFrame, others: DataFrame, forms: DataFrame) -> DataFrame:
+    """Verified ``c_id, id, pages``: the texts within ``EDITS`` of each centre; both sides come as ``id, key``."""
+    met = others.join(centres.withColumnRenamed("id", "c_id"), "key").select("c_id", "id").distinct()
+    text = forms.select("id", "source_document", "form", "pages")
+    own = text.select(F.col("id").alias("c_id"), F.col("source_document").alias("c_source"), F.col("form").alias("c_form"))
+    both = met.join(own, "c_id").join(text, "id").where(F.col("source_document") == F.col("c_source"))
+    return both.where(F.levenshtein("form", "c_form", EDITS) >= 0).select("c_id", "id", "pages")
+
+
+def _confirmed(pairs: DataFrame, rows: DataFrame, min_pages: int) -> DataFrame:
+    """``id`` of all texts around centres whose texts stand on ``min_pages`` different pages, counted exactly."""
     heavy = pairs.groupBy("c_id").agg(F.sum("pages").alias("most")).where(F.col("most") >= min_pages).select("c_id")
     members = pairs.join(heavy, "c_id", "left_semi").select("c_id", "id")
-    where = on_pages.select(F.xxhash64("source_document", "form").alias("id"), "page_number")
-    centres = members.join(where, "id").select("c_id", "page_number").distinct().groupBy("c_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    return members.join(centres, "c_id", "left_semi").select("id").distinct()
+    where = rows.select(F.xxhash64("source_document", "form").alias("id"), "page_number")
+    counted = members.join(where, "id").select("c_id", "page_number").distinct().groupBy("c_id").agg(F.count("*").alias("n"))
+    return members.join(counted.where(F.col("n") >= min_pages), "c_id", "left_semi").select("id").distinct()
 
 
-def repeated_forms(rows: DataFrame, min_pages: int = MIN_PAGES, rounds: int = ROUNDS) -> DataFrame:
+def repeated_forms(rows: DataFrame, min_pages: int = MIN_PAGES, tracked: int = TRACKED, most: int = LEADERS) -> DataFrame:
     """``source_document, form`` of every text that stands, itself or misread, on ``min_pages`` pages of its source."""
     on_pages = rows.select("source_document", "form", "page_number").distinct()
     counted = on_pages.groupBy("source_document", "form").agg(F.count("*").alias("pages"))
     forms = materialise(counted.withColumn("id", F.xxhash64("source_document", "form")), "forms")
-    long = forms.where(F.length("form") >= SHORT)
-    sketch = long.select("pages", F.explode(probe_keys()).alias("key")).groupBy("key").agg(F.sum("pages").alias("held"))
-    own = long.select("id", "pages", F.explode(own_keys()).alias("key"))
-    bound = own.join(sketch, "key").groupBy("id", "pages").agg(F.sum("held").alias("held"), F.count("*").alias("keys"))
-    candidates = bound.where(F.col("held") - (F.col("keys") - 1) * F.col("pages") >= min_pages).select("id")
-    every = materialise(long.join(candidates, "id", "left_semi"), "candidates")
-    keyed = lambda df: df.select("*", F.explode(F.array_distinct(own_keys())).alias("key"))
-    wanted = keyed(every).select("key").distinct()
-    probes = materialise(long.select("id", F.explode(probe_keys()).alias("key")).join(wanted, "key", "left_semi").select("id", "key"), "probes")
-    found, rest, open_ = None, every, every
-    for _ in range(rounds):
-        heaviest = F.max(F.struct("pages", "form", "id", "source_document")).alias("m")
-        leaders = keyed(open_).groupBy("key").agg(heaviest).select("key", "m.*")
-        got = materialise(_pairs(leaders, probes, long), "pairs")
-        lighter = (F.col("pages") < F.col("c_pages")) | ((F.col("pages") == F.col("c_pages")) & (F.col("id") != F.col("c_id")))
-        # a leader of all its keys has met all its variants
-        whole = materialise(leaders.groupBy("id").agg(F.count("*").alias("leads")).join(keyed(open_).groupBy("id").agg(F.count("*").alias("keys")), "id").where("leads = keys").select("id"), "whole")
-        open_ = materialise(open_.join(got.where(lighter).select("id").union(whole).distinct(), "id", "left_anti"), "open")
-        found = got if found is None else found.unionByName(got)
-        rest = rest.join(whole, "id", "left_anti")
-    own_ids = forms.where(F.col("pages") >= min_pages).select("id")
-    ids = own_ids
-    if found is not None:
-        ids = materialise(own_ids.union(_confirmed(found.select("c_id", "id", "pages").distinct(), on_pages, min_pages)).distinct(), "confirmed")
-    rest = materialise(rest, "rest")
-    reach = _pairs(keyed(rest), probes.join(ids, "id", "left_anti"), long).select(F.col("c_id").alias("id")).distinct()
-    pairs = materialise(_pairs(keyed(rest.join(reach, "id", "left_semi")), probes, long).select("c_id", "id", "pages").distinct(), "verified")
-    ids = ids.union(_confirmed(pairs, on_pages, min_pages)).distinct()
+    first = materialise(leaders(rows, tracked, most), "leaders")
+    keyed = forms.select("id", "pages", F.explode(keys()).alias("key"))
+    held = keyed.groupBy("key").agg(F.sum("pages").alias("held"), F.count("*").alias("texts")).where("texts > 1")
+    shared = materialise(keyed.join(held, "key").select("id", "key", "pages", "held"), "shared")
+    bound = shared.groupBy("id").agg((F.sum(F.col("held") - F.col("pages")) + F.max("pages")).alias("most"))
+    links = shared.select("id", "key")
+    centres = materialise(links.join(bound.where(F.col("most") >= min_pages).select("id"), "id", "left_semi"), "centres")
+    own = forms.where(F.col("pages") >= min_pages).select("id")
+    met = materialise(_pairs(centres.join(first, "id", "left_semi"), links, forms), "led")
+    sure = materialise(own.union(_confirmed(met, rows, min_pages)).distinct(), "confirmed")
+    rest = materialise(centres.join(first, "id", "left_anti"), "rest")
+    reach = _pairs(rest, links.join(sure, "id", "left_anti"), forms).select(F.col("c_id").alias("id")).distinct()
+    pairs = materialise(_pairs(rest.join(reach, "id", "left_semi"), links, forms), "verified")
+    ids = sure.union(_confirmed(pairs, rows, min_pages)).distinct()
     return forms.join(ids, "id", "left_semi").select("source_document", "form")
 
 
+def checked_broadcast(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, written once, and marked for broadcast if its texts take at most ``most`` bytes; one row reaches the driver."""
+    held = materialise(df, "set")
+    size = held.agg(F.coalesce(F.sum(F.octet_length("source_document") + F.octet_length("form") + 64), F.lit(0)).alias("b")).first()["b"]
+    return F.broadcast(held) if size <= most else held
+
+
 def repeated_lines(lines: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``source_document, page_number, line_number`` of every line to drop."""
     rows = line_forms(lines)
-    return rows.join(repeated_forms(rows, min_pages), ["source_document", "form"], "left_semi").select("source_document", "page_number", "line_number").distinct()
+    drop = checked_broadcast(repeated_forms(rows, min_pages))
+    return rows.join(drop, ["source_document", "form"], "left_semi").select("source_document", "page_number", "line_number").distinct()
 
 
 def without_repeats(lines: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The pages that are left: ``source_document, page_number, lines, text``; a page of notices only isn't left."""
+    """The pages that are left: ``source_document, page_number, lines, text``; a page of notices only isn't left.
+
+    A line number goes with all its contents if one of them is repeated, as in ``repeated_lines``.
+    """
     drop = repeated_lines(lines, min_pages)
     on = [F.col(f"l.{k}").eqNullSafe(F.col(f"d.{k}")) for k in drop.columns]
     kept = lines.select("source_document", "page_number", "line_number", "content").distinct().alias("l").join(drop.alias("d"), on, "left_anti")
