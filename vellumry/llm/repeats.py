@@ -51,7 +51,7 @@ def _within(classes: tuple[int, ...], n: int) -> Column:
     """The letters of ``form`` whose code point modulo ``n`` is among ``classes``, in order."""
     others = "".join(ch for ch in ascii_lowercase if ord(ch) % n not in classes)
     any_script = F.array_join(F.filter(F.split("form", ""), lambda ch: (F.ascii(ch) % n).isin(list(classes))), "")
-    return F.when(F.col("form").rlike("[^a-z]"), any_script).otherwise(F.translate("form", others, ""))
+    return F.when(F.octet_length("form") > F.length("form"), any_script).otherwise(F.translate("form", others, ""))
 
 
 def _without() -> Column:
@@ -117,15 +117,16 @@ def repeated_forms(rows: DataFrame, min_pages: int = MIN_PAGES, tracked: int = T
     keyed = forms.select("id", "pages", F.explode(keys()).alias("key"))
     held = keyed.groupBy("key").agg(F.sum("pages").alias("held"), F.count("*").alias("texts")).where("texts > 1")
     shared = materialise(keyed.join(held, "key").select("id", "key", "pages", "held"), "shared")
+    near = materialise(forms.join(shared.select("id").distinct(), "id", "left_semi"), "near")  # the texts that share any key
     bound = shared.groupBy("id").agg((F.sum(F.col("held") - F.col("pages")) + F.max("pages")).alias("most"))
     links = shared.select("id", "key")
     centres = materialise(links.join(bound.where(F.col("most") >= min_pages).select("id"), "id", "left_semi"), "centres")
     own = forms.where(F.col("pages") >= min_pages).select("id")
-    met = materialise(_pairs(centres.join(first, "id", "left_semi"), links, forms), "led")
+    met = materialise(_pairs(centres.join(first, "id", "left_semi"), links, near), "led")
     sure = materialise(own.union(_confirmed(met, rows, min_pages)).distinct(), "confirmed")
     rest = materialise(centres.join(first, "id", "left_anti"), "rest")
-    reach = _pairs(rest, links.join(sure, "id", "left_anti"), forms).select(F.col("c_id").alias("id")).distinct()
-    pairs = materialise(_pairs(rest.join(reach, "id", "left_semi"), links, forms), "verified")
+    reach = _pairs(rest, links.join(sure, "id", "left_anti"), near).select(F.col("c_id").alias("id")).distinct()
+    pairs = materialise(_pairs(rest.join(reach, "id", "left_semi"), links, near), "verified")
     ids = sure.union(_confirmed(pairs, rows, min_pages)).distinct()
     return forms.join(ids, "id", "left_semi").select("source_document", "form")
 
