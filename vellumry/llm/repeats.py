@@ -17,7 +17,8 @@ them. Distinct texts are worked on, with the number of pages of each; copies are
 
 Keys. Two texts within two edits share one, and nothing depends on where in the text the edits are. Texts of up to 12 letters
 have the strings left by taking out up to two letters. Longer ones have what is left of their letters in each of five
-classes (an edit touches at most two classes), those of up to 34 letters in each two of six. Lengths overlap by two.
+classes (an edit touches at most two classes), those of up to 34 letters in each two of six. Lengths overlap by two. What
+these few keys leave over is sieved once more with the keys of two classes for texts of every length above 12.
 
 Defined results: null or letterless content, and rows without source or page, are never reported. Texts of one or two letters
 are all within two edits of each other, as the definition has it. Repeated rows and several occurrences on one page count once.
@@ -36,7 +37,7 @@ from vellumry.scale import materialise, salt
 MIN_PAGES = 6
 EDITS = 2
 #: Counters of a source's summary, and how many of its texts are tried as leaders.
-TRACKED, LEADERS = 1024, 256
+TRACKED, LEADERS = 1024, 32
 #: Parts of a source that are summed on their own.
 SALTS = 16
 BROADCAST_BYTES = 32 << 20
@@ -62,14 +63,15 @@ def _without() -> Column:
     return F.expr(f"concat(array(form), {once}, if(length(form) > 1, {twice}, array()))")
 
 
-def keys() -> Column:
+def keys(fine: bool = False) -> Column:
+    """The keys of ``form``; ``fine`` ones are more, and shared by fewer texts."""
     key = lambda kind, x: F.xxhash64(F.col("source_document"), F.lit(kind), x)
     n = F.length("form")
     none = F.array().cast("array<bigint>")
     short = F.when(n <= _SHORT, F.transform(_without(), lambda x: key("out", x))).otherwise(none)
     pairs = [key(f"{a}{b}", _within((a, b), 6)) for a, b in combinations(range(6), 2)]
-    middle = F.when((n >= _SHORT - 1) & (n <= _MIDDLE), F.array(*pairs)).otherwise(none)
-    long = F.when(n >= _MIDDLE - 1, F.array(*[key(f"{a}", _within((a,), 5)) for a in range(5)])).otherwise(none)
+    middle = F.when((n >= _SHORT - 1) & (F.lit(fine) | (n <= _MIDDLE)), F.array(*pairs)).otherwise(none)
+    long = F.when(F.lit(not fine) & (n >= _MIDDLE - 1), F.array(*[key(f"{a}", _within((a,), 5)) for a in range(5)])).otherwise(none)
     return F.array_distinct(F.concat(short, middle, long))
 
 
@@ -108,19 +110,30 @@ def _confirmed(pairs: DataFrame, rows: DataFrame, min_pages: int) -> DataFrame:
     return members.join(counted.where(F.col("n") >= min_pages), "c_id", "left_semi").select("id").distinct()
 
 
+def _sieve(forms: DataFrame, min_pages: int, fine: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts that may matter, and ``id, key`` of the possible centres and of the texts that share a key with one.
+
+    A text is a possible centre if the pages behind its keys, itself counted once, reach ``min_pages``.
+    """
+    keyed = forms.select("id", "pages", F.explode(keys(fine)).alias("key"))
+    held = keyed.groupBy("key").agg(F.sum("pages").alias("held"), F.count("*").alias("texts")).where("texts > 1")
+    shared = materialise(keyed.join(held, "key").select("id", "key", "pages", "held"), "shared")
+    bound = shared.groupBy("id").agg((F.sum(F.col("held") - F.col("pages")) + F.max("pages")).alias("most"))
+    links = shared.select("id", "key")
+    centres = materialise(links.join(bound.where(F.col("most") >= min_pages).select("id"), "id", "left_semi"), "centres")
+    links = materialise(links.join(centres.select("key").distinct(), "key", "left_semi"), "links")
+    return materialise(forms.join(links.select("id").distinct(), "id", "left_semi"), "near"), centres, links
+
+
 def repeated_forms(rows: DataFrame, min_pages: int = MIN_PAGES, tracked: int = TRACKED, most: int = LEADERS) -> DataFrame:
     """``source_document, form`` of every text that stands, itself or misread, on ``min_pages`` pages of its source."""
     on_pages = rows.select("source_document", "form", "page_number").distinct()
     counted = on_pages.groupBy("source_document", "form").agg(F.count("*").alias("pages"))
     forms = materialise(counted.withColumn("id", F.xxhash64("source_document", "form")), "forms")
     first = materialise(leaders(rows, tracked, most), "leaders")
-    keyed = forms.select("id", "pages", F.explode(keys()).alias("key"))
-    held = keyed.groupBy("key").agg(F.sum("pages").alias("held"), F.count("*").alias("texts")).where("texts > 1")
-    shared = materialise(keyed.join(held, "key").select("id", "key", "pages", "held"), "shared")
-    near = materialise(forms.join(shared.select("id").distinct(), "id", "left_semi"), "near")  # the texts that share any key
-    bound = shared.groupBy("id").agg((F.sum(F.col("held") - F.col("pages")) + F.max("pages")).alias("most"))
-    links = shared.select("id", "key")
-    centres = materialise(links.join(bound.where(F.col("most") >= min_pages).select("id"), "id", "left_semi"), "centres")
+    near, centres, links = forms, None, None
+    for fine in (False, True):
+        near, centres, links = _sieve(near, min_pages, fine)
     own = forms.where(F.col("pages") >= min_pages).select("id")
     met = materialise(_pairs(centres.join(first, "id", "left_semi"), links, near), "led")
     sure = materialise(own.union(_confirmed(met, rows, min_pages)).distinct(), "confirmed")
