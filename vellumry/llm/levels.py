@@ -1,12 +1,16 @@
 """Reading level of each document: a latent difficulty model that links levels with the occurrence of words.
 
-Units are sentences (where punctuation is lost, windows of words). A unit of level b shows word w with a strength
-``beta[w, b]``: the nominal-response form of a Rasch model, because the one-parameter form, whose curve only rises or only
-falls with the level, can't hold words that are common at middle levels. Levels and strengths are estimated in turn:
-given the strengths each unit gets its probabilities of level, given these the strengths are counted anew over all
-documents, with the graded passages held at their bands. Passes over the documents yield sums of fixed size (words of the
-passages times bands), so only those reach the driver. A document's band is the level that most of its units have, its
-theta their mean.
+Units are sentences (where punctuation is lost, windows of words), each with a level theta on a continuous scale. A word w
+has a difficulty ``b``, a slope ``k`` and a frequency ``c``; a unit of level theta shows it with probability
+``p(w | theta) ~ c * sqrt(k) * exp(-k * (theta - b)^2 / 2)``, normalised over the words. That is the unfolding form of a
+Rasch model: with equal slopes the log odds of two words are linear in theta, as in Rasch's; its curve has its top at the
+word's difficulty instead of only rising or only falling, so it holds words that are common at middle levels.
+
+Levels and word parameters are estimated in turn. Given the words, each unit gets its distribution over theta (on ``GRID``);
+given these, three sums a word (1, theta, theta^2) over all documents give its parameters anew, with the graded passages
+held at their bands. Passes over the documents yield sums of fixed size (three for each word of the passages), so only those
+reach the driver. Cut points between bands are fitted on the passages: where they part the levels of units with fewest
+errors. A document's band is the one between whose cut points most of its units' levels lie, its theta their mean.
 
 Training: all graded passages, at most ``LABELLED`` of them; documents take part in every pass, all of them.
 
@@ -40,6 +44,11 @@ LONG_UNIT, WINDOW = 60, 12
 #: What one passage count weighs against one document count when strengths are counted anew.
 ANCHOR = 20.0
 
+#: Levels at which a unit's distribution is held.
+GRID = np.arange(1.0, BANDS + 0.01, 0.25)
+#: What is assumed of a word before it is seen: so many occurrences around the middle with this spread; and the least spread.
+PRIOR_WORDS, MIDDLE, PRIOR_SPREAD, LEAST_SPREAD = 1.0, (1 + BANDS) / 2, 2.0, 0.02
+
 STOPS = {".": -1, "?": -1, "!": -1}
 _WORDS = re.compile(r"[a-z]+|[.?!]")
 _LIST_LINE = re.compile(r"(?m)^[^\S\n]*(?:\S+[^\S\n]+){0,3}[\d.,]+[^\S\n]*$")
@@ -82,15 +91,40 @@ def cut_units(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.r_[0, np.diff(both) != 0]), long
 
 
-def strengths(counts: np.ndarray) -> np.ndarray:
-    """``log p(word | band)``, smoothed towards the word's share over all bands."""
-    share = counts.sum(axis=1, keepdims=True) / max(1.0, counts.sum())
-    p = counts + share * 2.0 + 0.02
-    return np.log(p / p.sum(axis=0))
+def parameters(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Difficulty and slope of each word from its sums of 1, theta and theta^2; a rare word is drawn to the middle and flat."""
+    n, first, second = sums.T
+    b = (first + PRIOR_WORDS * MIDDLE) / (n + PRIOR_WORDS)
+    spread = (second - 2 * b * first + b * b * n + PRIOR_WORDS * PRIOR_SPREAD) / (n + PRIOR_WORDS)
+    return b, 1.0 / (np.maximum(spread, 0.0) + LEAST_SPREAD)
+
+
+def strengths(sums: np.ndarray) -> np.ndarray:
+    """``log p(word | theta)`` at each level of ``GRID``."""
+    b, k = parameters(sums)
+    c = np.log(sums[:, 0] + 0.02)
+    score = (c + 0.5 * np.log(k))[:, None] - 0.5 * k[:, None] * (GRID[None, :] - b[:, None]) ** 2
+    return score - np.log(np.exp(score).sum(axis=0))
+
+
+def cut_points(theta: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Between each two bands the level that parts the given ones with fewest errors (of several the one in the middle)."""
+    cuts = []
+    for b in range(1, BANDS):
+        near = np.unique(theta[(band == b) | (band == b + 1)])
+        middles = (near[1:] + near[:-1]) / 2
+        if not (len(middles) and (band <= b).any() and (band > b).any()):
+            cuts.append(b + 0.5)
+            continue
+        low, high = np.sort(theta[band <= b]), np.sort(theta[band > b])
+        errors = len(low) - np.searchsorted(low, middles) + np.searchsorted(high, middles)
+        best = np.flatnonzero(errors == errors.min())
+        cuts.append(float(middles[best[len(best) // 2]]))
+    return np.maximum.accumulate(np.array(cuts))
 
 
 class Model:
-    """Vocabulary, counts of the passages, strengths, and mean known words of a sentence of each band."""
+    """Vocabulary, sums of the passages, strengths, cut points, and mean known words of a sentence of each band."""
 
     def __init__(self, passages: list[tuple[int, str]]):
         self.vocabulary: dict[str, int] = {}
@@ -101,15 +135,27 @@ class Model:
                 if w not in STOPS:
                     self.vocabulary.setdefault(w, len(self.vocabulary))
             rows.append((band, np.array(unit_ids(text, self.vocabulary)[0], dtype=np.int64)))
-        self.anchors = np.zeros((max(1, len(self.vocabulary)), BANDS))
+        self.passages = rows
+        self.anchors = np.zeros((max(1, len(self.vocabulary)), 3))
         known, sentences = np.zeros(BANDS), np.zeros(BANDS)
         for band, ids in rows:
             words = ids[ids >= 0]
-            np.add.at(self.anchors[:, band - 1], words, 1.0)
+            for power in range(3):
+                np.add.at(self.anchors[:, power], words, float(band) ** power)
             known[band - 1] += len(words)
             sentences[band - 1] += len(np.unique(cut_units(ids)[0]))
         self.length = np.where(sentences > 0, known / np.maximum(sentences, 1), 1.0)
-        self.beta = strengths(self.anchors)
+        self.set(self.anchors)
+
+    def set(self, sums: np.ndarray) -> None:
+        """Take the parameters of ``sums`` and fit the cut points on the passages."""
+        self.sums, self.beta = sums, strengths(sums)
+        theta, band = [np.zeros(0)], [np.zeros(0)]
+        for b, ids in self.passages:
+            p = unit_levels(ids, self.beta)[2]
+            theta.append(p @ GRID)
+            band.append(np.full(len(p), b))
+        self.cuts = cut_points(np.concatenate(theta), np.concatenate(band))
 
 
 def unit_levels(ids: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +166,7 @@ def unit_levels(ids: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarr
     unit, long = cut_units(ids)
     words = ids[ids >= 0]
     if not len(words):
-        return words, unit, np.zeros((0, BANDS)), np.zeros(0), long
+        return words, unit, np.zeros((0, len(GRID))), np.zeros(0), long
     first = np.r_[0, np.flatnonzero(np.diff(unit)) + 1]
     score = np.add.reduceat(beta[words], first, axis=0)
     score -= score.max(axis=1, keepdims=True)
@@ -128,16 +174,18 @@ def unit_levels(ids: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, unit, p / p.sum(axis=1, keepdims=True), np.diff(np.r_[first, len(unit)]).astype(float), long[first]
 
 
-def document_level(ids: np.ndarray, beta: np.ndarray, length: np.ndarray) -> tuple[int, float]:
+def document_level(ids: np.ndarray, beta: np.ndarray, cuts: np.ndarray, length: np.ndarray) -> tuple[int, float]:
     """Band and theta of one document. A sentence counts once, a fragment or window by its words against a usual sentence."""
     _, _, p, n, window = unit_levels(ids, beta)
     if not len(n):
         return 0, 0.0
-    weight = n[:, None] / length
-    share = (p * np.where(window[:, None], weight, np.minimum(1.0, weight))).sum(axis=0)
-    theta = float(share @ np.arange(1, BANDS + 1) / share.sum())
+    theta = p @ GRID
+    weight = n / length[np.digitize(theta, cuts)]
+    weight = np.where(window, weight, np.minimum(1.0, weight))
+    share = np.bincount(np.digitize(GRID, cuts), weights=weight @ p, minlength=BANDS)
+    level = float(weight @ theta / weight.sum())
     best = np.flatnonzero(share >= share.max() * (1 - 1e-9)) + 1
-    return int(min(best, key=lambda b: (abs(b - theta), b))), theta
+    return int(min(best, key=lambda b: (abs(b - level), b))), level
 
 
 def features(documents: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
@@ -172,27 +220,26 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_anew(feats: DataFrame, beta: np.ndarray) -> np.ndarray:
-    """Expected counts of each word at each level over all documents, added up by word and band."""
+    """Sums of 1, theta and theta^2 of each word over all documents, added up by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros_like(beta)
+        total = np.zeros((len(beta), 3))
         for batch in batches:
             values, sizes = _lists(batch.column(0))
             # a unit never goes on into the next document
             ids = np.insert(values, np.cumsum(sizes)[:-1], -1) if len(sizes) else values
             words, unit, p, _, _ = unit_levels(ids, beta)
             if len(words):
-                r = p[unit]
-                for b in range(BANDS):
-                    total[:, b] += np.bincount(words, weights=r[:, b], minlength=len(beta))
+                for power in range(3):
+                    total[:, power] += np.bincount(words, weights=(p @ GRID**power)[unit], minlength=len(beta))
         flat = total.ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["at", "n"])
 
-    sums = feats.select("ids").mapInArrow(run, "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()  # vocabulary x bands rows
-    out = np.zeros(beta.size)
+    sums = feats.select("ids").mapInArrow(run, "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()  # three rows for each word of the passages
+    out = np.zeros(len(beta) * 3)
     for r in sums:
         out[r["at"]] = r["n"]
-    return out.reshape(beta.shape)
+    return out.reshape(len(beta), 3)
 
 
 def fit(documents: DataFrame, passages: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
@@ -202,8 +249,8 @@ def fit(documents: DataFrame, passages: DataFrame, rounds: int = ROUNDS) -> tupl
     feats = materialise(features(documents, model.vocabulary), "levels")
     for _ in range(rounds):
         seen = count_anew(feats, model.beta)
-        weight = ANCHOR * max(1.0, seen.sum() / max(1.0, model.anchors.sum()) / ANCHOR)  # passages weigh as much as all documents
-        model.beta = strengths(model.anchors * weight + seen)
+        weight = max(ANCHOR, seen[:, 0].sum() / max(1.0, model.anchors[:, 0].sum()))  # passages weigh as much as all documents
+        model.set(model.anchors * weight + seen)
     return model, feats
 
 
@@ -212,13 +259,13 @@ def levels(documents: DataFrame, passages: DataFrame, rounds: int = ROUNDS) -> D
     from pyspark.sql import types as T
 
     model, feats = fit(documents, passages, rounds)
-    beta, length = model.beta, model.length
+    beta, cuts, length = model.beta, model.cuts, model.length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, sizes = _lists(batch.column(1))
             ends = np.cumsum(sizes)
-            got = [document_level(values[e - n : e], beta, length) for e, n in zip(ends, sizes)]
+            got = [document_level(values[e - n : e], beta, cuts, length) for e, n in zip(ends, sizes)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b for b, _ in got], pa.int64()), pa.array([t for _, t in got], pa.float64())], ["doc_id", "band", "theta"])
 
     return feats.mapInArrow(run, T.StructType([feats.schema["doc_id"], T.StructField("band", T.LongType()), T.StructField("theta", T.DoubleType())])).where("band > 0").distinct()
@@ -230,8 +277,8 @@ def profile(found: DataFrame) -> DataFrame:
 
 
 def word_difficulty(documents: DataFrame, passages: DataFrame) -> DataFrame:
-    """``word, difficulty``: the mean level at which each known word occurs; at most as many rows as the passages have words."""
+    """``word, difficulty, slope``: the parameters of each known word; at most as many rows as the passages have words."""
     model, feats = fit(documents, passages)
-    p = np.exp(model.beta)
-    level = (p / p.sum(axis=1, keepdims=True)) @ np.arange(1, BANDS + 1)
-    return feats.sparkSession.createDataFrame([(w, float(level[i])) for w, i in model.vocabulary.items()], "word string, difficulty double")
+    b, k = parameters(model.sums)
+    rows = [(w, float(b[i]), float(k[i])) for w, i in model.vocabulary.items()]
+    return feats.sparkSession.createDataFrame(rows, "word string, difficulty double, slope double")
