@@ -4,19 +4,21 @@ import json
 import math
 import os
 from datetime import datetime, timedelta
+from functools import reduce
 
 import duckdb
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumry.functions import geometry as g
 from vellumry.functions import text
-from vellumry.operators import corrections, errors, labels, lines, pages, polygons
+from vellumry.operators import corrections, errors, labels, lines, orphans, pages, polygons
 from vellumry.plans import catalog
-from vellumry.sources import documents, ocr_json, sinks
+from vellumry.sources import documents, ocr_json, sinks, versions
 from vellumry.streaming import orphans as stream_orphans
 from vellumry.streaming import polygons as stream_polygons
 
@@ -151,7 +153,13 @@ def test_json_layouts_and_sinks(spark, tmp_path):
     at = f"file://{tmp_path}/t"
     df.write.parquet(at)
     sinks.replace_table(spark.read.parquet(at).where("error_id = 1"), at)
-    assert spark.read.parquet(at).count() == 1
+    assert sinks.read_table(spark, at).count() == 1
+    sinks.replace_table(sinks.read_table(spark, at).unionByName(df), at)
+    assert sinks.read_table(spark, at).count() == 3
+    df.write.parquet(f"{at}/v3/table")  # a writer that died before its marker
+    assert sinks.read_table(spark, at).count() == 3 and versions.current(spark, at) == 2
+    with pytest.raises(Exception, match="already exists|FileAlreadyExists"):
+        versions.mark(spark, at, 2)
     assert sinks.page_bodies(spark.createDataFrame([("D", 7)], "document string, page_number int")).first()["path"] == "D/page_007.json"
 
 
@@ -174,15 +182,21 @@ def test_pdf_pages_and_services(spark, tmp_path):
 def test_orphans_over_a_stream(spark, tmp_path):
     key = ("d.pdf", 1, 1, 1)
     schema = "source_document string, page_number long, line_number long, word_number long, {}"
-    for i, (refs, entries) in enumerate([([T0, T0 + timedelta(1)], []), ([], [(T0 + timedelta(2), T0 + timedelta(3))])]):
-        r = spark.createDataFrame([(*key, t) for t in refs], schema.format("submitted_at timestamp_ntz"))
-        e = spark.createDataFrame([(*key, a, b) for a, b in entries], schema.format("exported_at timestamp_ntz, withdrawn_at timestamp_ntz"))
-        stream_orphans.events(r, e).write.mode("append").parquet(f"{tmp_path}/in")
-    src = spark.readStream.schema(spark.read.parquet(f"{tmp_path}/in").schema).parquet(f"{tmp_path}/in")
-    q = stream_orphans.track(src).writeStream.format("memory").queryName("changes").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    got = [(r["change"], r["open_references"]) for r in spark.table("changes").orderBy("at").collect()]
-    assert got == [("opened", 1), ("opened", 2), ("resolved", 0), ("reopened", 2)]
+    steps = [([T0, T0 + timedelta(5)], []), ([], [(T0 + timedelta(2), None)]), ([T0, T0 + timedelta(1)], [(T0 + timedelta(1), T0 + timedelta(4)), (T0 + timedelta(2), None)]), ([], [(T0 + timedelta(2), T0 + timedelta(5))])]
+    all_refs, all_entries = [], []
+    state = orphans.OrphanState(spark, f"file://{tmp_path}/state")
+    for i, (refs, entries) in enumerate(steps):
+        r = spark.createDataFrame([(*key, t, t.day) for t in refs], schema.format("submitted_at timestamp_ntz, correction_id long"))
+        e = spark.createDataFrame([(*key, a, b, a.day) for a, b in entries], schema.format("exported_at timestamp_ntz, withdrawn_at timestamp_ntz, error_id long"))
+        all_refs.append(r)
+        all_entries.append(e)
+        stream_orphans.events(r, e).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        src = spark.readStream.schema(spark.read.parquet(f"{tmp_path}/in").schema).parquet(f"{tmp_path}/in")
+        q = src.writeStream.foreachBatch(stream_orphans.tracker(state)).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        want = orphans.orphans(reduce(DataFrame.unionByName, all_refs), reduce(DataFrame.unionByName, all_entries))
+        assert sorted(map(tuple, state.orphans().collect())) == sorted(map(tuple, want.collect()))
+    assert {r["reason"] for r in state.orphans().collect()} == {"late"}
 
 
 def test_polygons_from_a_stream(spark, tmp_path):
@@ -192,6 +206,6 @@ def test_polygons_from_a_stream(spark, tmp_path):
     batch = spark.createDataFrame([(1, 200, 100, 150), (3, 100, 100, 150)], "page int, page_width int, page_height int, render_dpi int")
     for i in range(2):
         stream_polygons.merger(at, ["page"])(batch, i)
-    got = {r["page"]: (r["polygon"][0]["x"], len(r["polygon"])) for r in spark.read.parquet(at).collect()}
+    got = {r["page"]: (r["polygon"][0]["x"], len(r["polygon"])) for r in sinks.read_table(spark, at).collect()}
     assert got == {1: (20.0, 1), 2: (10.0, 1), 3: (172.0, len(g.DEFAULT_POLYGON))}
     assert polygons.PATCH_FROM == 61

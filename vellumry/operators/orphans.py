@@ -1,10 +1,16 @@
-"""References to records that don't exist: keyed pending-orphan state, maintained in time order.
+"""References to records that don't exist: keyed pending-orphan state, maintained increment by increment.
 
-A reference names a location; parents at that location are exported and may be withdrawn. The state of a location at a
-moment is (parents exported so far, parents that stand, references so far); an arriving parent resolves the references
-that wait there, a withdrawal of the last standing one reopens them. The state is carried from day to day as sums, so a
-location with a third of all rows is worked on by as many tasks as it has days, and its parents and references are
-summed before any shuffle.
+A reference names a location; parents at that location are exported and may be withdrawn. ``OrphanState`` keeps the parent
+index and every reference with its verdict as a versioned table. An increment of references and parents changes it so:
+new references probe the parent index; an arriving parent (or a parent that comes again as withdrawn) has only those
+references judged anew that it can touch, which are the ones that miss a level it fills and the ones at its location.
+Verdicts go by event time, so rows that come late, in another order or twice give the state that a single run over
+everything gives.
+
+The state of a location at a moment is (parents exported so far, parents that stand, references so far); an arriving parent
+resolves the references that wait there, a withdrawal of the last standing one reopens them. It is carried from day to day
+as sums, so a location with a third of all rows is worked on by as many tasks as it has days, and its parents and references
+are summed before any shuffle.
 
 Defined results: a null in any of the four keys is ``incomplete``; a null time of submission sees no parent as exported
 (``late``); a null time of export never comes; a withdrawal at or before the export leaves no moment at which the parent
@@ -14,9 +20,14 @@ reference.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vellumry.scale import materialise, new_path
+from vellumry.sources import versions
+
 LEVELS = ["document", "page", "line", "word"]
 KEY_COLUMNS = ["source_document", "page_number", "line_number", "word_number"]
 LONG_AGO = "0001-01-01 00:00:00"
@@ -33,14 +44,23 @@ def located(df: DataFrame, *more: str) -> DataFrame:
 
 
 def deepest_level(keys: DataFrame, parents: DataFrame) -> DataFrame:
-    """``keys`` with ``missing``: the first level at which no parent is found, null if a parent has the whole key."""
-    out = keys
-    for i, level in enumerate(LEVELS):
-        on = LEVELS[: i + 1]
-        index = parents.select(*on).dropna().distinct().withColumn(f"_has_{level}", F.lit(True))
-        out = out.join(index, on, "left")
-    missing = F.coalesce(*[F.when(F.col(f"_has_{level}").isNull(), F.lit(level)) for level in LEVELS])
-    return out.select(*keys.columns, missing.alias("missing"))
+    """``keys`` with ``missing``: the first level at which no parent is found, null if a parent has the whole key.
+
+    The whole key is probed first; only what misses goes on to the shorter ones, as distinct prefixes, so that a document
+    with a third of all references isn't joined on its name alone.
+    """
+
+    def probe(wanted: DataFrame, depth: int) -> DataFrame:
+        on = LEVELS[:depth]
+        index = parents.select(*on).dropna().distinct().withColumn("_has", F.lit(True))
+        met = wanted.join(index, on, "left")
+        if depth == 1:
+            return met.select(*on, F.when(F.col("_has").isNull(), LEVELS[0]).alias("missing"))
+        above = probe(met.where("_has is null").select(*on[:-1]).distinct(), depth - 1).withColumnRenamed("missing", "_above")
+        missing = F.when(F.col("_has").isNull(), F.coalesce("_above", F.lit(LEVELS[depth - 1])))
+        return met.join(above, on[:-1], "left").select(*on, missing.alias("missing"))
+
+    return probe(keys, len(LEVELS))
 
 
 def location_events(refs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -74,21 +94,96 @@ def parents_of(entries: DataFrame) -> DataFrame:
     return located(entries, "error_id", "exported_at", "withdrawn_at")
 
 
-def orphans(references: DataFrame, entries: DataFrame, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
-    """``ref_id, at, reason`` for every reference that isn't met; one row for each distinct (``ref_id``, ``at``, key)."""
-    refs = located(references, F.col(ref_id).alias("_id"), F.col(at).alias("_given"))
-    refs = refs.distinct().withColumn("at", F.coalesce("_given", F.lit(LONG_AGO).cast(references.schema[at].dataType)))
-    whole = F.col("document").isNotNull() & F.col("page").isNotNull() & F.col("line").isNotNull() & F.col("word").isNotNull()
-    incomplete = refs.where(~whole).select("_id", "_given", F.lit("incomplete").alias("reason"))
-    complete = refs.where(whole)
-    parents = parents_of(entries)
-    asked = complete.groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
-    placed = deepest_level(asked.select(*LEVELS).distinct(), parents)
-    states = advance(location_events(asked, parents.dropna(subset=LEVELS))).where("refs > 0")
+def references_of(references: DataFrame, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
+    """Distinct references with their location, ``_id``, ``_given`` (the time as given) and ``at`` (never null)."""
+    refs = located(references, F.col(ref_id).alias("_id"), F.col(at).alias("_given")).distinct()
+    return refs.withColumn("at", F.coalesce("_given", F.lit(LONG_AGO).cast(references.schema[at].dataType)))
+
+
+def judge(refs: DataFrame, parents: DataFrame) -> DataFrame:
+    """``refs`` with ``reason``, null where a parent stands."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in LEVELS])
+    asked = refs.where(whole).groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
+    places = asked.select(*LEVELS).distinct()
+    placed = deepest_level(places, parents)
+    here = parents.dropna(subset=LEVELS).join(places, LEVELS, "left_semi")
+    states = advance(location_events(asked, here)).where("refs > 0")
     reason = F.when(F.col("missing").isNotNull(), F.col("missing")).when(F.col("exported_now") == 0, "late").when(F.col("standing_now") == 0, "withdrawn")
     verdict = states.join(placed, LEVELS).select(*LEVELS, "at", reason.alias("reason")).where("reason is not null")
-    found = complete.join(verdict, [*LEVELS, "at"]).select("_id", "_given", "reason")
-    return found.unionByName(incomplete).select(F.col("_id").alias(ref_id), F.col("_given").alias(at), "reason").distinct()
+    given = refs.drop("reason").join(verdict, [*LEVELS, "at"], "left")
+    return given.select(*LEVELS, "_id", "_given", "at", F.when(~whole, "incomplete").otherwise(F.col("reason")).alias("reason"))
+
+
+class OrphanState:
+    """Parents and judged references under ``path``, as tables in versions."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path = spark, path or new_path(spark, "orphans")
+
+    def table(self, name: str, like: DataFrame | None = None) -> DataFrame | None:
+        held = versions.read(self.spark, self.path, name)
+        return like.where("false") if held is None and like is not None else held
+
+    def advance(self, refs: DataFrame, parents: DataFrame) -> int:
+        """Take in an increment (``references_of``, ``parents_of``) and commit; rows that are already held change nothing."""
+        parents = parents.distinct()
+        judged = refs.distinct().withColumn("reason", F.lit(None).cast("string")).select(*LEVELS, "_id", "_given", "at", "reason")
+        held_parents, held_refs = self.table("parents", parents), self.table("references", judged)
+        fresh = materialise(_not_in(parents, held_parents), "parents")
+        every = held_parents.unionByName(fresh)
+        touched = held_refs
+        for depth, level in enumerate(LEVELS, 1):
+            on = LEVELS[:depth]
+            filled = fresh.select(*on).dropna().distinct().withColumn(f"_fills_{level}", F.lit(True))
+            touched = touched.join(filled, on, "left")
+        at_place = F.col("_fills_word").isNotNull() & (F.col("reason").isNull() | F.col("reason").isin("late", "withdrawn"))
+        hit = reduce(lambda a, b: a | b, [(F.col("reason") == level) & F.col(f"_fills_{level}").isNotNull() for level in LEVELS], at_place)
+        marked = touched.select(*judged.columns, F.coalesce(hit, F.lit(False)).alias("_hit")) if self.version else None
+        again = judged if marked is None else _not_in(judged.drop("reason"), held_refs.drop("reason")).withColumn("reason", F.lit(None).cast("string")).unionByName(marked.where("_hit").drop("_hit"))
+        done = judge(materialise(again, "touched"), every)
+        out = done if marked is None else marked.where("not _hit").drop("_hit").unionByName(done)
+        return versions.commit(self.spark, self.path, {"parents": every, "references": out})
+
+    @property
+    def version(self) -> int:
+        return versions.current(self.spark, self.path)
+
+    def orphans(self, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
+        """``ref_id, at, reason`` of the references that wait or can't be met."""
+        return self.table("references").where("reason is not null").select(F.col("_id").alias(ref_id), F.col("_given").alias(at), "reason").distinct()
+
+
+def _not_in(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """``rows`` that aren't among ``held``, nulls being equal: copies are told by all they say."""
+    key = lambda df: df.withColumn("_row", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in rows.columns]))
+    on = F.col("l._row") == F.col("r._row")
+    for c in rows.columns:
+        on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return key(rows).alias("l").join(key(held).alias("r"), on, "left_anti").drop("_row")
+
+
+#: In how many increments a whole history is taken in.
+INCREMENTS = 3
+
+
+def replay(references: DataFrame, entries: DataFrame, increments: int = INCREMENTS, path: str | None = None) -> OrphanState:
+    """The state after a whole history, taken in by spans of time: each increment is what was submitted or exported in it."""
+    spark = references.sparkSession
+    refs, parents = references_of(references), parents_of(entries)
+    state = OrphanState(spark, path)
+    ends = refs.select(F.col("_given").alias("t")).union(parents.select("exported_at")).agg(F.unix_micros(F.min("t").cast("timestamp")).alias("a"), F.unix_micros(F.max("t").cast("timestamp")).alias("b")).first()
+    low, high = ends["a"] or 0, ends["b"] or 0
+    n = increments if high > low else 1
+    span = lambda c: F.least(F.lit(n - 1), F.coalesce(F.floor((F.unix_micros(F.col(c).cast("timestamp")) - low) * n / F.lit(max(1, high - low))), F.lit(0)))
+    for i in range(n):
+        state.advance(refs.where(span("_given") == i), parents.where(span("exported_at") == i))
+    return state
+
+
+def orphans(references: DataFrame, entries: DataFrame, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
+    """``ref_id, at, reason`` for every reference that isn't met, judged in one run; what ``OrphanState`` must agree with."""
+    found = judge(references_of(references, ref_id, at), parents_of(entries).distinct()).where("reason is not null")
+    return found.select(F.col("_id").alias(ref_id), F.col("_given").alias(at), "reason").distinct()
 
 
 def orphan_counts(found: DataFrame, table_name: str, at: str = "submitted_at") -> DataFrame:
@@ -97,13 +192,13 @@ def orphan_counts(found: DataFrame, table_name: str, at: str = "submitted_at") -
     return found.groupBy(F.lit(table_name).alias("table_name"), month, "reason").agg(F.count("*").alias("orphans"))
 
 
-def open_by_month(references: DataFrame, entries: DataFrame, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
+def open_by_month(state: OrphanState) -> DataFrame:
     """Snapshots: at the end of each month with any change, the references that then wait for a parent.
 
     Complete references only; each change of a location's state adds to or takes from the number that waits.
     """
-    refs = located(references, F.col(ref_id).alias("_id"), F.col(at).alias("at")).distinct().dropna(subset=[*LEVELS, "at"]).groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
-    states = advance(location_events(refs, parents_of(entries).dropna(subset=LEVELS)))
+    refs = state.table("references").dropna(subset=[*LEVELS, "_given"]).groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
+    states = advance(location_events(refs, state.table("parents").dropna(subset=LEVELS)))
     waits = F.when(F.col("standing_now") == 0, F.col("refs_now")).otherwise(0) - F.when(F.col("standing_was") == 0, F.col("refs_was")).otherwise(0)
     monthly = states.groupBy(F.date_format("at", "yyyy-MM").alias("month")).agg(F.sum(waits).alias("change"))
     return monthly.select("month", F.sum("change").over(Window.orderBy("month")).alias("open_references"))

@@ -38,16 +38,20 @@ def p3_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact.bin_sizes(kept)
 
 
+def _orphan_state(spark: SparkSession, sf_dir: str) -> orphans.OrphanState:
+    return orphans.replay(table(spark, sf_dir, "corrections"), table(spark, sf_dir, "error_entries"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphans.orphans(table(spark, sf_dir, "corrections"), table(spark, sf_dir, "error_entries")).select("correction_id", "reason").distinct()
+    return _orphan_state(spark, sf_dir).orphans().select("correction_id", "reason").distinct()
 
 
 def p6_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphans.orphan_counts(orphans.orphans(table(spark, sf_dir, "corrections"), table(spark, sf_dir, "error_entries")), "corrections")
+    return orphans.orphan_counts(_orphan_state(spark, sf_dir).orphans(), "corrections")
 
 
 def p6_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphans.open_by_month(table(spark, sf_dir, "corrections"), table(spark, sf_dir, "error_entries"))
+    return orphans.open_by_month(_orphan_state(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -28,12 +28,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/vellumry/{label}-{uuid.uuid4().hex}"
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def session_dir(spark: SparkSession) -> str:
+    """The session's own part of the shared folder."""
+    return f"{shared_dir(spark)}/vellumry/{spark.sparkContext.applicationId}"
 
 
 def clean(spark: SparkSession) -> None:
-    """Remove all tables written so far to the shared folder; results that read them are then void."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/vellumry")
+    """Remove all tables that this session wrote to the shared folder; results that read them are then void."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumry.functions.text import page_file
+from vellumry.sources import versions
 
 
 def write_errors(errors: DataFrame, path: str) -> None:
@@ -33,16 +32,12 @@ def page_bodies(records: DataFrame, document: str = "document", page: str = "pag
 
 
 def replace_table(df: DataFrame, path: str) -> str:
-    """Overwrite ``path`` safely though ``df`` may read it: write a new version beside it, then swap the folders."""
-    spark: SparkSession = df.sparkSession
-    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    jvm = spark._jvm
-    to = jvm.org.apache.hadoop.fs.Path(path)
-    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(to):
-        fs.rename(to, jvm.org.apache.hadoop.fs.Path(old))
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(fresh), to):
-        raise RuntimeError(f"can't put the new version at {path}")
-    fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    """Overwrite the table at ``path`` safely though ``df`` may read it: a new version counts once it is complete."""
+    versions.commit(df.sparkSession, path, {"table": df})
     return path
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The last version of a table of ``replace_table``, or the plain Parquet files at ``path`` before its first version."""
+    held = versions.read(spark, path, "table")
+    return spark.read.parquet(path) if held is None else held

@@ -1,52 +1,33 @@
-"""Pending orphans over a stream: the state of each location is three numbers, whatever has gone through it."""
+"""Pending orphans over streams: each batch is an increment of the kept state.
+
+The state goes by event time and drops copies, so batches may come late, in any order and more than once.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumry.operators.orphans import LEVELS, located
-
-OUT = "document string, page long, line long, word long, at timestamp_ntz, change string, open_references long"
-STATE = "exported long, standing long, references long"
-
-
-def events(references: DataFrame, entries: DataFrame, at: str = "submitted_at") -> DataFrame:
-    """One stream of events ``kind`` (reference, export, withdrawal) with their location and moment; incomplete keys stay out."""
-    refs = located(references, F.col(at).alias("at"), F.lit("reference").alias("kind"))
-    came = located(entries, F.col("exported_at").alias("at"), F.lit("export").alias("kind"))
-    went = located(entries.where("withdrawn_at is not null"), F.col("withdrawn_at").alias("at"), F.lit("withdrawal").alias("kind"))
-    return refs.unionByName(came).unionByName(went).dropna()
-
-
-def fold(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """References wait while no parent stands; an export resolves them, the withdrawal of the last one reopens them."""
-    exported, standing, refs = state.get if state.exists else (0, 0, 0)
-    rows = []
-    pdf = pd.concat(list(batches)).sort_values(["at", "kind"], kind="stable")  # exports before references of one moment
-    for at, kind in zip(pdf["at"], pdf["kind"]):
-        before = standing
-        if kind == "reference":
-            refs += 1
-            if standing <= 0:
-                rows.append((at, "opened"))
-        elif kind == "export":
-            exported, standing = exported + 1, standing + 1
-            if before <= 0 < standing and refs:
-                rows.append((at, "resolved"))
-        else:
-            standing -= 1
-            if before > 0 >= standing and refs:
-                rows.append((at, "reopened"))
-        if rows and len(rows[-1]) == 2:
-            rows[-1] = (*rows[-1], 0 if standing > 0 else refs)
-    state.update((exported, standing, refs))
-    yield pd.DataFrame({**{n: [k] * len(rows) for n, k in zip(LEVELS, key)}, "at": [r[0] for r in rows], "change": pd.Series([r[1] for r in rows], dtype="object"), "open_references": pd.Series([r[2] for r in rows], dtype="int64")})
-
-
-def track(stream: DataFrame) -> DataFrame:
-    """Changes of each location's open references, as they happen."""
-    return stream.groupBy(*LEVELS).applyInPandasWithState(fold, OUT, STATE, "append", "NoTimeout")
+from vellumry.operators.orphans import OrphanState, parents_of, references_of
+
+KEYS = ["source_document", "page_number", "line_number", "word_number"]
+
+
+def events(references: DataFrame, entries: DataFrame, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
+    """One stream of both: ``kind`` (reference or entry), the key, ``id``, ``at`` and ``withdrawn_at``."""
+    refs = references.select(F.lit("reference").alias("kind"), *KEYS, F.col(ref_id).alias("id"), F.col(at).alias("at"), F.lit(None).cast(entries.schema["withdrawn_at"].dataType).alias("withdrawn_at"))
+    came = entries.select(F.lit("entry").alias("kind"), *KEYS, F.col("error_id").alias("id"), F.col("exported_at").alias("at"), "withdrawn_at")
+    return refs.unionByName(came)
+
+
+def tracker(state: OrphanState) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: takes a batch of ``events`` into the state."""
+
+    def take(batch: DataFrame, _: int) -> None:
+        refs = references_of(batch.where("kind = 'reference'"), "id", "at")
+        came = batch.where("kind = 'entry'").withColumnsRenamed({"id": "error_id", "at": "exported_at"})
+        state.advance(refs, parents_of(came))
+
+    return take

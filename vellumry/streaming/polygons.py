@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from vellumry.operators.polygons import upsert
-from vellumry.sources.sinks import replace_table
+from vellumry.sources.sinks import read_table, replace_table
 
 
 def merger(path: str, by: list[str]) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``. A batch that is given again changes nothing: its pages are there with the same size."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        existing = batch.sparkSession.read.parquet(path)
+        existing = read_table(batch.sparkSession, path)
         merged = upsert(batch.dropDuplicates(by), existing, by).drop("action")
         replace_table(merged.select(*existing.columns), path)
 
