@@ -49,6 +49,9 @@ GRID = np.arange(1.0, BANDS + 0.01, 0.25)
 #: What is assumed of a word before it is seen: so many occurrences around the middle with this spread; and the least spread.
 PRIOR_WORDS, MIDDLE, PRIOR_SPREAD, LEAST_SPREAD = 1.0, (1 + BANDS) / 2, 2.0, 0.02
 
+#: Units scored at once.
+SLICE = 8192
+
 STOPS = {".": -1, "?": -1, "!": -1}
 _WORDS = re.compile(r"[a-z]+|[.?!]")
 _LIST_LINE = re.compile(r"(?m)^[^\S\n]*(?:\S+[^\S\n]+){0,3}[\d.,]+[^\S\n]*$")
@@ -168,7 +171,11 @@ def unit_levels(ids: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not len(words):
         return words, unit, np.zeros((0, len(GRID))), np.zeros(0), long
     first = np.r_[0, np.flatnonzero(np.diff(unit)) + 1]
-    score = np.add.reduceat(beta[words], first, axis=0)
+    score = np.zeros((len(first), len(GRID)))
+    for a in range(0, len(first), SLICE):  # whole units at a time, so that a very long text takes no more room than others
+        part = first[a : a + SLICE]
+        end = first[a + SLICE] if a + SLICE < len(first) else len(words)
+        score[a : a + SLICE] = np.add.reduceat(beta[words[part[0] : end]], part - part[0], axis=0)
     score -= score.max(axis=1, keepdims=True)
     p = np.exp(score)
     return words, unit, p / p.sum(axis=1, keepdims=True), np.diff(np.r_[first, len(unit)]).astype(float), long[first]
