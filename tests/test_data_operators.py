@@ -157,7 +157,7 @@ def test_orphans_against_brute_force(spark):
     asked, came = orphans.references_of(c), orphans.parents_of(e)
     for i in (2, 0, 1, 1):
         state.advance(asked.where(F.col("_id") % 3 == i).unionByName(asked.where("_id < 5")), came.where((F.col("error_id") * 7) % 3 == i))
-    assert {r["correction_id"]: r["reason"] for r in state.orphans().collect()} == got and state.table("references").count() == len(refs)
+    assert {r["correction_id"]: r["reason"] for r in state.orphans().collect()} == got and state.references().count() == len(refs)
     assert {r["correction_id"]: r["reason"] for r in orphans.replay(c, e).orphans().collect()} == got
 
 

@@ -46,21 +46,19 @@ def located(df: DataFrame, *more: str) -> DataFrame:
 def deepest_level(keys: DataFrame, parents: DataFrame) -> DataFrame:
     """``keys`` with ``missing``: the first level at which no parent is found, null if a parent has the whole key.
 
-    The whole key is probed first; only what misses goes on to the shorter ones, as distinct prefixes, so that a document
-    with a third of all references isn't joined on its name alone.
+    Only distinct prefixes are probed, each level joined to the one above it, so a document with a third of all references
+    counts once at its level.
     """
-
-    def probe(wanted: DataFrame, depth: int) -> DataFrame:
+    above = None
+    for depth, level in enumerate(LEVELS, 1):
         on = LEVELS[:depth]
         index = parents.select(*on).dropna().distinct().withColumn("_has", F.lit(True))
-        met = wanted.join(index, on, "left")
-        if depth == 1:
-            return met.select(*on, F.when(F.col("_has").isNull(), LEVELS[0]).alias("missing"))
-        above = probe(met.where("_has is null").select(*on[:-1]).distinct(), depth - 1).withColumnRenamed("missing", "_above")
-        missing = F.when(F.col("_has").isNull(), F.coalesce("_above", F.lit(LEVELS[depth - 1])))
-        return met.join(above, on[:-1], "left").select(*on, missing.alias("missing"))
-
-    return probe(keys, len(LEVELS))
+        met = keys.select(*on).distinct().join(index, on, "left")
+        if above is not None:
+            met = met.join(above.withColumnRenamed("missing", "_above"), on[:-1], "left")
+        first = F.lit(None).cast("string") if above is None else F.col("_above")
+        above = met.select(*on, F.coalesce(first, F.when(F.col("_has").isNull(), level)).alias("missing"))
+    return above
 
 
 def location_events(refs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -120,29 +118,31 @@ class OrphanState:
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or new_path(spark, "orphans")
 
-    def table(self, name: str, like: DataFrame | None = None) -> DataFrame | None:
-        held = versions.read(self.spark, self.path, name)
-        return like.where("false") if held is None and like is not None else held
+    def references(self) -> DataFrame:
+        return versions.read(self.spark, self.path, "references")
+
+    def parents(self) -> DataFrame:
+        """All parents taken in so far: each increment adds its own part."""
+        return self.spark.read.parquet(*[f"{self.path}/parents/v{i}" for i in range(1, self.version + 1)])
 
     def advance(self, refs: DataFrame, parents: DataFrame) -> int:
         """Take in an increment (``references_of``, ``parents_of``) and commit; rows that are already held change nothing."""
-        parents = parents.distinct()
-        judged = refs.distinct().withColumn("reason", F.lit(None).cast("string")).select(*LEVELS, "_id", "_given", "at", "reason")
-        held_parents, held_refs = self.table("parents", parents), self.table("references", judged)
-        fresh = materialise(_not_in(parents, held_parents), "parents")
-        every = held_parents.unionByName(fresh)
-        touched = held_refs
-        for depth, level in enumerate(LEVELS, 1):
-            on = LEVELS[:depth]
-            filled = fresh.select(*on).dropna().distinct().withColumn(f"_fills_{level}", F.lit(True))
-            touched = touched.join(filled, on, "left")
-        at_place = F.col("_fills_word").isNotNull() & (F.col("reason").isNull() | F.col("reason").isin("late", "withdrawn"))
-        hit = reduce(lambda a, b: a | b, [(F.col("reason") == level) & F.col(f"_fills_{level}").isNotNull() for level in LEVELS], at_place)
-        marked = touched.select(*judged.columns, F.coalesce(hit, F.lit(False)).alias("_hit")) if self.version else None
-        again = judged if marked is None else _not_in(judged.drop("reason"), held_refs.drop("reason")).withColumn("reason", F.lit(None).cast("string")).unionByName(marked.where("_hit").drop("_hit"))
-        done = judge(materialise(again, "touched"), every)
-        out = done if marked is None else marked.where("not _hit").drop("_hit").unionByName(done)
-        return versions.commit(self.spark, self.path, {"parents": every, "references": out})
+        version, parents = self.version, parents.distinct()
+        asked = refs.distinct().withColumn("reason", F.lit(None).cast("string")).select(*LEVELS, "_id", "_given", "at", "reason")
+        part = f"{self.path}/parents/v{version + 1}"
+        (_not_in(parents, self.parents()) if version else parents).write.mode("overwrite").parquet(part)
+        fresh = self.spark.read.parquet(part)
+        if not version:
+            return versions.commit(self.spark, self.path, {"references": judge(materialise(asked, "asked"), fresh)})
+        held = self.references()
+        filled = fresh.select(F.explode(F.array(*[_prefix(depth) for depth in range(1, 5)])).alias("_at")).distinct().withColumn("_hit", F.lit(True))
+        depth = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, LEVELS)), F.col("reason")), F.lit(0)), F.lit(4))
+        wanted = reduce(lambda rest, d: F.when(depth == d, _prefix(d)).otherwise(rest), range(1, 4), _prefix(4))
+        marked = materialise(held.withColumn("_at", wanted).join(filled, "_at", "left").drop("_at"), "marked")
+        new = _not_in(asked.drop("reason"), held.drop("reason")).withColumn("reason", F.lit(None).cast("string"))
+        again = materialise(new.unionByName(marked.where("_hit").drop("_hit")), "touched")
+        done = judge(again, self.parents().unionByName(fresh))
+        return versions.commit(self.spark, self.path, {"references": marked.where("_hit is null").drop("_hit").unionByName(done)})
 
     @property
     def version(self) -> int:
@@ -150,7 +150,12 @@ class OrphanState:
 
     def orphans(self, ref_id: str = "correction_id", at: str = "submitted_at") -> DataFrame:
         """``ref_id, at, reason`` of the references that wait or can't be met."""
-        return self.table("references").where("reason is not null").select(F.col("_id").alias(ref_id), F.col("_given").alias(at), "reason").distinct()
+        return self.references().where("reason is not null").select(F.col("_id").alias(ref_id), F.col("_given").alias(at), "reason").distinct()
+
+
+def _prefix(depth: int) -> Column:
+    """A number for the first ``depth`` parts of a key. Two that agree by chance have a reference judged anew in vain."""
+    return F.xxhash64(F.lit(depth), *LEVELS[:depth])
 
 
 def _not_in(rows: DataFrame, held: DataFrame) -> DataFrame:
@@ -163,7 +168,7 @@ def _not_in(rows: DataFrame, held: DataFrame) -> DataFrame:
 
 
 #: In how many increments a whole history is taken in.
-INCREMENTS = 3
+INCREMENTS = 2
 
 
 def replay(references: DataFrame, entries: DataFrame, increments: int = INCREMENTS, path: str | None = None) -> OrphanState:
@@ -197,8 +202,8 @@ def open_by_month(state: OrphanState) -> DataFrame:
 
     Complete references only; each change of a location's state adds to or takes from the number that waits.
     """
-    refs = state.table("references").dropna(subset=[*LEVELS, "_given"]).groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
-    states = advance(location_events(refs, state.table("parents").dropna(subset=LEVELS)))
+    refs = state.references().dropna(subset=[*LEVELS, "_given"]).groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
+    states = advance(location_events(refs, state.parents().dropna(subset=LEVELS)))
     waits = F.when(F.col("standing_now") == 0, F.col("refs_now")).otherwise(0) - F.when(F.col("standing_was") == 0, F.col("refs_was")).otherwise(0)
     monthly = states.groupBy(F.date_format("at", "yyyy-MM").alias("month")).agg(F.sum(waits).alias("change"))
     return monthly.select("month", F.sum("change").over(Window.orderBy("month")).alias("open_references"))
