@@ -148,8 +148,17 @@ def test_json_layouts_and_sinks(spark, tmp_path):
     assert [r["page_number"] for r in ocr_json.read_documents(spark, f"{tmp_path}/c", 2).collect()] == [1, 2]
     assert ocr_json.read_page_records(spark, f"{tmp_path}/e", "page_sizes").first()["width_points"] == 2550.0
     df = spark.createDataFrame([("d", 2, "b"), ("d", 1, "a")], "source_document string, error_id int, error string")
-    body = json.loads(sinks.errors_body(df).first()["body"])
-    assert [e["error_id"] for e in body["errors"]] == [1, 2]
+    errors_ = spark.createDataFrame([("d", p, i, e) for p in (1, 2, 10) for i, e in ((2, 'b"'), (1, None))] + [("c", 1, 3, "é")], "source_document string, page_number int, error_id int, error string")
+    pieces = sinks.error_pieces(errors_, ["error_id", "error"], ["error_id"])
+    assert sinks.write_error_file(pieces, f"file://{tmp_path}/errors.json") == 7
+    assert [e["error_id"] for e in json.loads((tmp_path / "errors.json").read_text())["errors"]] == [3, 1, 2, 1, 2, 1, 2]
+    sinks.write_errors_by_document(errors_, f"file://{tmp_path}/by_document")
+    assert sorted(p.name for p in (tmp_path / "by_document").iterdir() if p.is_dir()) == ["source_document=c", "source_document=d"]
+    sinks.write_errors(errors_, f"file://{tmp_path}/lines")
+    assert spark.read.json(f"file://{tmp_path}/lines").count() == 7
+    bodies = sinks.page_bodies(spark.createDataFrame([("D", 7), ("E", 1)], "document string, page_number int"))
+    assert {r["n_bytes"] for r in sinks.write_bodies(bodies, f"file://{tmp_path}/pages").collect()} == {17}
+    assert json.loads((tmp_path / "pages/D/page_007.json").read_text()) == {"page_number": 7}
     at = f"file://{tmp_path}/t"
     df.write.parquet(at)
     sinks.replace_table(spark.read.parquet(at).where("error_id = 1"), at)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vellumry.functions import text
 from vellumry.operators import lines as ln
-from vellumry.scale import dense_id
+from vellumry.scale import dense_id, materialise
 
 LOW_CONFIDENCE, EXPORT_CONFIDENCE, TIERS, SMALL_RATIO, EXPORT_LIMIT = 0.90, 0.85, (0.85, 0.95), 0.65, 5
 #: Words known for trouble with their category, and literal text patterns in order.
@@ -45,39 +45,69 @@ def word_rules(low: float = LOW_CONFIDENCE, small: float = SMALL_RATIO, hotwords
     ]
 
 
-def flag_words(words: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """``words`` (with the page's ``median_height``) once for each rule that holds, with ``rule_rank`` and ``error_type``."""
-    rules = rules or word_rules()
-    hits = F.array_compact(F.array(*[F.when(r.holds, F.struct(F.lit(r.rank).alias("rule_rank"), r.kind.alias("error_type"))) for r in rules]))
-    return words.select("*", F.explode(hits).alias("_hit")).select("*", "_hit.*").drop("_hit", "median_height")
+def _hits(rules: list[Rule]) -> Column:
+    return F.array_compact(F.array(*[F.when(r.holds, F.struct(F.lit(r.rank).alias("rule_rank"), r.kind.alias("error_type"))) for r in rules]))
 
 
-def flag_patterns(context: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
-    """Every match of a text pattern, with its line and its offset in the page's text."""
-    patterns = patterns or PATTERNS
+WORD = ["pos", "seq", "span_offset", "content", "x0", "y0", "x1", "y1"]
+
+
+def line_hits(lined: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """One row for each line: its context (``ln.line_context``) and ``flagged``, its words that meet a rule, with their hits.
+
+    Words are judged before anything is gathered, so the text of a line is built once, not for each of its words.
+    """
+    judged = lined.withColumn("_hits", _hits(word_rules() if rules is None else rules))
+    word = F.when(F.size("_hits") > 0, F.struct(*WORD, F.col("_hits").alias("hits")))
+    return ln.line_context(judged, F.collect_list(word).alias("flagged"))
+
+
+def flag_words(lines: DataFrame) -> DataFrame:
+    """Flagged words of ``line_hits``, once for each rule that holds, with ``rule_rank``, ``error_type`` and their line's context."""
+    each = lines.select(*ln.PAGE, "line", *ln.CONTEXT, F.explode("flagged").alias("w")).select("*", F.explode("w.hits").alias("h"))
+    return each.select(*ln.PAGE, "line", *ln.CONTEXT, *[f"w.{c}" for c in WORD], "h.rule_rank", "h.error_type")
+
+
+def _matches(patterns: dict[str, str]) -> Column:
+    """Every match of a text pattern in ``line_text``, with its offset in the line."""
 
     def matches(rank: int, kind: str, literal: str) -> Column:
-        return F.transform(text.match_offsets(F.col("line_text"), literal), lambda o: F.struct(F.lit(rank).alias("rule_rank"), F.lit(kind).alias("error_type"), F.lit(literal).alias("error"), o.alias("at")))
+        hit = lambda o: F.struct(F.lit(rank).alias("rule_rank"), F.lit(kind).alias("error_type"), F.lit(literal).alias("error"), o.alias("at"))
+        return F.transform(text.match_offsets(F.col("line_text"), literal), hit)
+
+    return F.concat(*[matches(4 + i, kind, literal) for i, (kind, literal) in enumerate(patterns.items())])
 
-    found = F.concat(*[matches(4 + i, kind, literal) for i, (kind, literal) in enumerate(patterns.items())])
-    return ln.line_bases(context).select("*", F.explode(found).alias("m")).select("*", "m.*", (F.col("base") + F.col("m.at")).alias("character_number")).drop("m", "at", "base")
+
+def flag_patterns(context: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
+    """Every match of a text pattern, with its line and its offset in the page's text."""
+    found = ln.line_bases(context).select("*", F.explode(_matches(patterns or PATTERNS)).alias("m"))
+    return found.select("*", "m.*", (F.col("base") + F.col("m.at")).alias("character_number")).drop("m", "at", "base")
 
 
-RECORD = ["error_type", "source_document", "page_number", "line_number", "word_number", "character_number", "line_text", "error", "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1", "err_x0", "err_y0", "err_x1", "err_y1"]
+RECORD = [
+    "error_type", "source_document", "page_number", "line_number", "word_number", "character_number", "line_text", "error",
+    "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1", "err_x0", "err_y0", "err_x1", "err_y1",
+]
 
 
 def error_rows(words: DataFrame) -> DataFrame:
-    """All error records, before they are numbered, with what orders them."""
-    lined = ln.group_lines(words)
-    flagged = flag_words(ln.with_context(lined))
-    by_word = flagged.select("error_type", *ln.PAGE, F.col("line").cast("long").alias("line_number"), F.col("pos").cast("long").alias("word_number"), F.col("span_offset").alias("character_number"), "line_text", F.col("content").alias("error"), "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1", F.col("x0").alias("err_x0"), F.col("y0").alias("err_y0"), F.col("x1").alias("err_x1"), F.col("y1").alias("err_y1"), "rule_rank", F.col("seq").cast("long").alias("in_rule"))
-    by_text = flag_patterns(ln.line_context(lined)).select("error_type", *ln.PAGE, F.col("line").cast("long").alias("line_number"), F.lit(-1).cast("long").alias("word_number"), F.col("character_number").cast("long").alias("character_number"), "line_text", "error", "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1", F.col("ctx_x0").alias("err_x0"), F.col("ctx_y0").alias("err_y0"), F.col("ctx_x1").alias("err_x1"), F.col("ctx_y1").alias("err_y1"), "rule_rank", F.col("character_number").cast("long").alias("in_rule"))
-    return by_word.unionByName(by_text)
+    """All error records, before they are numbered, with what orders them; one pass over the words, by line."""
+    lines = ln.line_bases(line_hits(ln.group_lines(words)))
+    box = ["x0", "y0", "x1", "y1"]
+    by_word = F.flatten(F.transform("flagged", lambda w: F.transform(w["hits"], lambda h: F.struct(
+        h["rule_rank"].alias("rule_rank"), h["error_type"].alias("error_type"), w["pos"].cast("long").alias("word_number"), w["span_offset"].alias("character_number"),
+        w["content"].alias("error"), *[w[c].alias(f"err_{c}") for c in box], w["seq"].cast("long").alias("in_rule")))))
+    at = lambda m: (F.col("base") + m["at"]).cast("long")
+    by_text = F.transform(_matches(PATTERNS), lambda m: F.struct(
+        m["rule_rank"].alias("rule_rank"), m["error_type"].alias("error_type"), F.lit(-1).cast("long").alias("word_number"), at(m).alias("character_number"),
+        m["error"].alias("error"), *[F.col(f"ctx_{c}").alias(f"err_{c}") for c in box], at(m).alias("in_rule")))
+    each = lines.select(*ln.PAGE, F.col("line").cast("long").alias("line_number"), *ln.CONTEXT, F.explode(F.concat(by_word, by_text)).alias("e"))
+    return each.select(*ln.PAGE, "line_number", *ln.CONTEXT, "e.*")
 
 
 def errors_all(words: DataFrame) -> DataFrame:
     """Numbered from 0: documents by name, pages by their folder name, rules in order, matches as found."""
-    rows = error_rows(words)
+    rows = materialise(error_rows(words), "errors")  # the range partitioner reads its input twice
     order = [F.col("source_document"), F.concat(F.lit("page-"), F.col("page_number").cast("string")), F.col("rule_rank"), F.col("in_rule")]
     return dense_id(rows, order, "error_id").select("error_id", *RECORD)
 

@@ -19,14 +19,16 @@ REST = ["content", "confidence", "span_offset", "span_length", "x0", "y0", "x1",
 def page_words(words: DataFrame) -> DataFrame:
     """One row for each page: ``at``, its words in reading order as delivered. The only shuffle that lines need.
 
-    Rows delivered twice fall together; of unlike contents for one place the least by value is kept. Rows without a key
-    or a box are left out.
+    Rows delivered twice fall together; of unlike contents for one place the last delivery counts (``ingested_at``, where
+    there is one), of several at one time the least by value. Rows without a key or a box are left out.
     """
     whole = words.where(" and ".join(f"{c} is not null" for c in [*KEY, "x0", "y0", "x1", "y1"]))
-    pages = whole.groupBy(*PAGE).agg(F.sort_array(F.collect_set(F.struct("line_number", "word_number", *REST))).alias("all"))
+    age = -F.unix_micros(F.col("ingested_at").cast("timestamp")) if "ingested_at" in words.columns else F.lit(0).cast("long")
+    word = F.struct("line_number", "word_number", F.coalesce(age, F.lit((1 << 63) - 1)).alias("_age"), *REST)
+    pages = whole.groupBy(*PAGE).agg(F.sort_array(F.collect_set(word)).alias("all"))
     place = lambda w: F.struct(w["line_number"], w["word_number"])
     first = lambda w, i: (i == 0) | (place(F.get("all", i - 1)) != place(w))
-    return pages.select(*PAGE, F.filter("all", first).alias("at"))
+    return pages.select(*PAGE, F.transform(F.filter("all", first), lambda w: w.dropFields("_age")).alias("at"))
 
 
 def distinct_words(words: DataFrame) -> DataFrame:
@@ -79,15 +81,10 @@ def _text(at: Column) -> Column:
 CONTEXT = ["line_text", "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1"]
 
 
-def with_context(lined: DataFrame) -> DataFrame:
-    """``lined`` with the text and box of each word's line, without another shuffle."""
-    line = Window.partitionBy(*PAGE, "line")
-    return lined.withColumns({"line_text": _text(F.collect_list(F.struct("pos", "content")).over(line)), "ctx_x0": F.min("x0").over(line), "ctx_y0": F.min("y0").over(line), "ctx_x1": F.max("x1").over(line), "ctx_y1": F.max("y1").over(line)})
-
-
-def line_context(lined: DataFrame) -> DataFrame:
-    """Text and box of each line."""
-    return lined.groupBy(*PAGE, "line").agg(_text(F.collect_list(F.struct("pos", "content"))).alias("line_text"), F.min("x0").alias("ctx_x0"), F.min("y0").alias("ctx_y0"), F.max("x1").alias("ctx_x1"), F.max("y1").alias("ctx_y1"), F.count("*").alias("words"))
+def line_context(lined: DataFrame, *more: Column) -> DataFrame:
+    """Text and box of each line, its number of words, and ``more`` aggregates."""
+    box = [F.min("x0").alias("ctx_x0"), F.min("y0").alias("ctx_y0"), F.max("x1").alias("ctx_x1"), F.max("y1").alias("ctx_y1")]
+    return lined.groupBy(*PAGE, "line").agg(_text(F.collect_list(F.struct("pos", "content"))).alias("line_text"), *box, F.count("*").alias("words"), *more)
 
 
 def line_bases(context: DataFrame) -> DataFrame:

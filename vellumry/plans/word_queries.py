@@ -13,6 +13,7 @@ from vellumry.operators import corrections as co
 from vellumry.operators import errors as er
 from vellumry.operators import lines as ln
 from vellumry.operators import shred
+from vellumry.sources import sinks
 from vellumry.scale import table
 
 _WORDS = """
@@ -82,8 +83,7 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flag(rank: int) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lined = _lined(spark, sf_dir)
-        hits = er.flag_words(ln.with_context(lined), [r for r in er.word_rules() if r.rank == rank])
+        hits = er.flag_words(er.line_hits(_lined(spark, sf_dir), [r for r in er.word_rules() if r.rank == rank]))
         return hits.select("error_type", *ln.PAGE, F.col("line").alias("line_number"), F.col("pos").alias("word_number"), F.col("span_offset").alias("character_number"), "line_text", F.col("content").alias("error"), "ctx_x0", "ctx_y0", "ctx_x1", "ctx_y1")
 
     return run
@@ -106,11 +106,8 @@ def errors_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def errors_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON text of the errors of each document."""
-    record = F.to_json(F.struct("error_type", "page_number", "line_number", "word_number", "character_number", "error"))
-    rows = er.error_rows(table(spark, sf_dir, "ocr_words"))
-    at = F.struct(F.concat(F.lit("page-"), F.col("page_number").cast("string")).alias("p"), "rule_rank", "in_rule", record.alias("r"))
-    return rows.groupBy("source_document").agg(F.concat(F.lit('{"errors":['), text.join_ordered(F.collect_list(at), "r", ","), F.lit("]}")).alias("body"))
+    """The errors of each page as a JSON list; ``sinks.write_error_file`` puts the lists of a document or of all into one file."""
+    return sinks.error_pieces(er.error_rows(table(spark, sf_dir, "ocr_words")), ["error_type", "page_number", "line_number", "word_number", "character_number", "error"], ["rule_rank", "in_rule"])
 
 
 def confidence_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +214,8 @@ def oracle_sql() -> dict[str, str]:
         "errors_all": _ERRORS + "SELECT row_number() OVER (ORDER BY source_document, 'page-' || page_number, rule_rank, in_rule) - 1 AS error_id, error_type, source_document, page_number, line_number, word_number, CAST(character_number AS BIGINT) AS character_number, line_text, error, ctx_x0, ctx_y0, ctx_x1, ctx_y1, err_x0, err_y0, err_x1, err_y1 FROM e",
         "errors_by_document": _ERRORS + "SELECT source_document, count(*) AS errors FROM e GROUP BY 1",
         "errors_by_type": _ERRORS + "SELECT error_type, count(*) AS errors FROM e GROUP BY 1",
+        "errors_export": _ERRORS + """SELECT source_document, page_number, count(*) AS errors, '[' || string_agg(CAST(to_json({'error_type': error_type, 'page_number': page_number, 'line_number': line_number,
+ 'word_number': word_number, 'character_number': CAST(character_number AS BIGINT), 'error': error}) AS VARCHAR), ',' ORDER BY rule_rank, in_rule) || ']' AS body FROM e GROUP BY 1, 2""",
         "confidence_tiers": "WITH " + _WORDS + " SELECT source_document, count(*) AS words, count(*) FILTER (WHERE coalesce(confidence, 1) < CAST(0.85 AS DOUBLE)) AS below_85, count(*) FILTER (WHERE coalesce(confidence, 1) < CAST(0.95 AS DOUBLE)) AS below_95 FROM w GROUP BY 1",
         "error_clusters": "WITH " + _WORDS + " SELECT lower(content) AS word, count(*) AS errors, avg(confidence) AS mean_confidence, count(DISTINCT source_document) AS documents, min(content) AS sample FROM w WHERE confidence < CAST(0.9 AS DOUBLE) GROUP BY 1",
         "small_token_median": "WITH " + _WORDS + " SELECT source_document, page_number, list_sort(list(y1 - y0))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS median_height FROM w GROUP BY 1, 2",

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +19,67 @@ def write_errors(errors: DataFrame, path: str) -> None:
 
 
 def write_errors_by_document(errors: DataFrame, path: str) -> None:
+    """The same in a folder for each document."""
     errors.write.mode("overwrite").partitionBy("source_document").json(path)
 
 
-def errors_body(errors: DataFrame, order: str = "error_id") -> DataFrame:
-    """One row for each document: ``{"errors": [...]}`` in the order of ``order``. For exchange, not for bulk."""
-    record = F.to_json(F.struct(*[c for c in errors.columns]))
-    at = F.array_sort(F.collect_list(F.struct(F.col(order), record.alias("r"))))
-    return errors.groupBy("source_document").agg(F.concat(F.lit('{"errors":['), F.array_join(F.transform(at, lambda s: s["r"]), ","), F.lit("]}")).alias("body"))
+def error_pieces(errors: DataFrame, fields: list[str], order: list[str]) -> DataFrame:
+    """``source_document, page_number, errors, body``: the records of each page as a JSON list in the order given.
+
+    A page bounds what is gathered, whatever the size of its document. Null fields are written as null.
+    """
+    record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    at = F.array_sort(F.collect_list(F.struct(*order, record.alias("r"))))
+    body = F.concat(F.lit("["), F.array_join(F.transform(at, lambda s: s["r"]), ","), F.lit("]"))
+    return errors.groupBy("source_document", "page_number").agg(F.count("*").alias("errors"), body.alias("body"))
+
+
+def write_error_file(pieces: DataFrame, path: str) -> int:
+    """One file ``{"errors": [...]}`` of all pieces, documents and pages in order; the number of records.
+
+    Pieces are sorted by Spark and pass through the driver one partition after the other, never all at once.
+    """
+    spark = pieces.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    total = 0
+    try:
+        out.write(bytearray(b'{"errors":['))
+        for row in pieces.orderBy("source_document", "page_number").toLocalIterator():
+            inner = row["body"][1:-1]
+            if inner:
+                out.write(bytearray(((b"," if total else b"") + inner.encode())))
+                total += row["errors"]
+        out.write(bytearray(b"]}"))
+    finally:
+        out.close()
+    return total
+
+
+def write_bodies(bodies: DataFrame, root: str) -> DataFrame:
+    """Write each row's ``body`` (text or bytes) to ``root/path``; gives ``path, n_bytes``. A file that exists is replaced whole.
+
+    Tasks write on their own with pyarrow, to a name of their own first, so that a lost task leaves no half file.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        for pdf in batches:
+            sizes = []
+            for path, body in zip(pdf["path"], pdf["body"]):
+                data = body.encode() if isinstance(body, str) else bytes(body)
+                to = f"{base}/{path}"
+                system.create_dir(to.rsplit("/", 1)[0], recursive=True)
+                part = f"{to}.part-{uuid.uuid4().hex}"
+                with system.open_output_stream(part) as f:
+                    f.write(data)
+                system.move(part, to)
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": pdf["path"], "n_bytes": sizes}).astype({"path": "object", "n_bytes": "int64"})
+
+    return bodies.select("path", "body").where("body is not null").mapInPandas(run, "path string, n_bytes long")
 
 
 def page_bodies(records: DataFrame, document: str = "document", page: str = "page_number") -> DataFrame:
