@@ -88,11 +88,13 @@ def test_plan_refuses_impossible_sizes():
         packing.plan_runs({11: 1}, 10)
 
 
-def test_pack_keeps_everything(spark):
+@pytest.mark.parametrize("how", [packing.pack_runs, packing.pack_sweeps])
+def test_pack_keeps_everything(spark, how):
     rnd = random.Random(9)
     data = [(i, rnd.choice([0, 1, 5, 5, 5, 9, 10, 11, 20, 25, None]), 0, 0) for i in range(400)]
     df = spark.createDataFrame([*data, data[1], (None, 4, 0, 0)], "doc_id long, n long, size int, rank int")
-    got = packing.pack(df, "doc_id", "n", 10).collect()
+    packed = how(df, "doc_id", "n", 10)
+    got = packed.collect()
     total = {}
     for r in got:
         assert r["size"] <= 10 and (r["container"] is None) == (r["size"] == 0)
@@ -104,10 +106,21 @@ def test_pack_keeps_everything(spark):
         if r["container"] is not None:
             held[r["container"]] = held.get(r["container"], 0) + r["size"]
     assert max(held.values()) <= 10 and set(held) == set(range(len(held)))
-    report = packing.fill_report(packing.pack(df, "doc_id", "n", 10), 10).first()
+    report = packing.fill_report(packed, 10).first()
     assert report["containers"] == len(held) and report["used"] == sum(held.values())
-    assert packing.pack(df.where("false"), "doc_id", "n", 10).count() == 0
-    assert packing.fill_report(packing.pack(df.where("false"), "doc_id", "n", 10), 10).first()["containers"] == 0
+    assert how(df.where("false"), "doc_id", "n", 10).count() == 0
+    assert packing.fill_report(how(df.where("false"), "doc_id", "n", 10), 10).first()["containers"] == 0
+
+
+@pytest.mark.parametrize("capacity, mean", [(2048, 300), (1 << 17, 20_000)])
+def test_sweeps_come_near_to_best_fit(spark, capacity, mean):
+    rnd = random.Random(5)
+    sizes = [min(capacity, max(1, int(rnd.expovariate(1 / mean)))) for _ in range(4000)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n long")
+    assert capacity <= packing.RUN_SIZES or packing.pack(df.limit(50), "doc_id", "n", capacity).count() == 50
+    got = packing.fill_report(packing.pack_sweeps(df, "doc_id", "n", capacity, parts=4), capacity).first()
+    assert got["items"] == 4000 and got["used"] == sum(sizes) and got["fullest"] <= capacity
+    assert got["containers"] <= best_fit(sizes, capacity) * 1.02 + 4
 
 
 # Repeated lines

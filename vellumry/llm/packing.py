@@ -1,11 +1,18 @@
-"""Best-fit-decreasing filling of fixed-capacity containers, planned on the driver over runs of equal size.
+"""Best-fit-decreasing filling of fixed-capacity containers, by one of two plans with the same rules.
 
-Sizes and gaps are whole numbers up to the capacity. Items of one size can't be told apart by a best-fit rule, nor can
-containers of one gap, so the plan works on runs: (size, range of ranks) for items and (gap, range of container
-numbers) for containers. One sequential loop on the driver, from the largest size down: the run of items is matched with
-the sorted gaps by successor search, items beyond a run's room go on to the next gap by rank, gaps are updated, and what
-finds no gap opens new containers. No sweep is distributed: the plan reads a histogram of at most as many sizes as the
-capacity, and the data take part in that histogram, one salted ranking and one join.
+Sweeps (``pack_sweeps``), for any capacity. Bulk-synchronous rounds over classes of size, from the largest down. In each round
+items and gaps are range-sorted together by value; every range is swept from the top, each item takes the smallest gap seen
+that holds it (its successor), larger items first where several want one gap (rank), and what is left of the gap goes on
+with the sweep. Items whose range has no gap for them go into the next round, whose ranges are cut elsewhere; what finds
+none in ``SWEEPS`` rounds opens containers, which the same sweep goes on filling. Gaps are updated between rounds as tables.
+
+Runs (``pack_runs``), where there are at most ``RUN_SIZES`` sizes, that is for a small capacity. Items of one size can't be told
+apart by a best-fit rule, nor can containers of one gap, so the rounds shrink to one loop over runs, (size, range of ranks)
+for items and (gap, range of container numbers) for containers. The loop reads the histogram of sizes on the driver; the
+data take part in that histogram, one salted ranking and one join. It gives the number of containers of best-fit decreasing
+item by item, which sweeps over ranges come near to only.
+
+``pack`` takes runs up to ``RUN_SIZES``, sweeps beyond it.
 
 Defined results: items of size 0 or null take no room and get a null container; a negative size is an error; an item
 above the capacity is cut into full pieces and one rest; repeated (key, size) rows count once.
@@ -14,13 +21,23 @@ above the capacity is cut into full pieces and one rest; repeated (key, size) ro
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vellumry.scale import materialise, rank_in_groups
+from vellumry.scale import dense_id, materialise, rank_in_groups
 
 CAPACITY = 2048
+#: The most sizes for which the histogram goes to the driver.
+RUN_SIZES = 1 << 16
+#: Rounds that look for gaps before containers are opened, and the classes of size (shares of the capacity, from the top).
+SWEEPS = 2
+CLASSES = [1 / 2, 1 / 4, 1 / 16, 0.0]
 
 
 def plan_runs(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -77,8 +94,84 @@ def pieces(df: DataFrame, key: str, size: str, capacity: int = CAPACITY) -> Data
     return at.select("key", "piece", (F.col("piece") * capacity).alias("first"), F.least(F.lit(capacity).cast("long"), F.col("whole") - F.col("piece") * capacity).alias("size"))
 
 
-def pack(df: DataFrame, key: str, size: str, capacity: int = CAPACITY, salts: int = 64) -> DataFrame:
+def pack(df: DataFrame, key: str, size: str, capacity: int = CAPACITY) -> DataFrame:
     """``container, key, piece, first, size``: every item once (or its pieces), with the container that holds it."""
+    return pack_runs(df, key, size, capacity) if capacity <= RUN_SIZES else pack_sweeps(df, key, size, capacity)
+
+
+def sweep(ranged: DataFrame, capacity: int, label: str, opening: bool) -> DataFrame:
+    """One round over ``key, piece, first, value, container`` (items have no container, gaps no piece), a range in each partition.
+
+    Gives ``what`` (placed, left or gap) with the same columns; ``value`` is then the item's size or the gap that is left.
+    """
+    schema = T.StructType([*ranged.schema.fields, T.StructField("what", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, opened = TaskContext.get().partitionId(), 0
+        gaps: list[tuple[int, str]] = []
+        kinds = None
+        for batch in batches:
+            where, what = [], []
+            key, piece, first, values, held = batch.columns
+            kinds = [c.type for c in batch.columns]
+            for value, container, gap_row in zip(values.to_pylist(), held.to_pylist(), piece.is_null().to_pylist()):
+                if gap_row:
+                    bisect.insort(gaps, (value, container))
+                    continue
+                i = bisect.bisect_left(gaps, (value, ""))
+                if i < len(gaps):
+                    gap, container = gaps.pop(i)
+                elif opening:
+                    gap, container, opened = capacity, f"{label}-{part}-{opened}", opened + 1
+                else:
+                    gap, container = 0, None
+                if gap > value:
+                    bisect.insort(gaps, (gap - value, container))
+                where.append(container)
+                what.append("placed" if container else "left")
+            items = [c.filter(piece.is_valid()) for c in (key, piece, first, values)]
+            yield pa.RecordBatch.from_arrays([*items, pa.array(where, pa.string()), pa.array(what, pa.string())], schema.names)
+        if gaps:
+            none = [pa.nulls(len(gaps), kind) for kind in kinds[:3]]
+            left, where = zip(*gaps)
+            yield pa.RecordBatch.from_arrays([*none, pa.array(left, pa.int64()), pa.array(where, pa.string()), pa.array(["gap"] * len(gaps))], schema.names)
+
+    return ranged.mapInArrow(run, schema)
+
+
+def pack_sweeps(df: DataFrame, key: str, size: str, capacity: int = CAPACITY, parts: int | None = None) -> DataFrame:
+    """As ``pack``, in distributed rounds; nothing but a number for each round (is anything left?) reaches the driver."""
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every = materialise(pieces(df, key, size, capacity), "pieces")
+    items = every.where("size <> 0").select("key", "piece", "first", F.col("size").alias("value"), F.lit(None).cast("string").alias("container"))
+    gaps, placed, above = items.where("false"), [], capacity + 1
+    for c, share in enumerate(CLASSES):
+        least = int(capacity * share) + 1
+        left, above = items.where((F.col("value") >= least) & (F.col("value") < above)), least
+        for r in range(SWEEPS + 1):
+            # ranges are cut at other places in each round; a salt splits what has one value
+            cut = max(1, parts - r * (parts // (SWEEPS + 1)))
+            both = left.unionByName(gaps).withColumn("_salt", F.pmod(F.xxhash64("key", "piece", "container"), F.lit(parts)))
+            order = [F.col("value").desc(), F.col("piece").isNotNull(), F.col("_salt")]
+            ranged = both.repartitionByRange(cut, F.col("value").desc(), F.col("_salt")).sortWithinPartitions(*order).drop("_salt")
+            done = materialise(sweep(ranged, capacity, f"{c}.{r}", r == SWEEPS), "sweep")
+            placed.append(done.where("what = 'placed'").drop("what"))
+            left, gaps = done.where("what = 'left'").drop("what"), done.where("what = 'gap'").drop("what")
+            if left.isEmpty():
+                break
+    held = materialise(reduce(DataFrame.unionByName, placed), "placed")
+    numbers = dense_id(held.select("container").distinct(), ["container"], "number").select("container", "number")
+    full = held.join(numbers, "container").select(F.col("number").cast("long").alias("container"), "key", "piece", "first", F.col("value").alias("size"))
+    return full.unionByName(_without_size(every)).withColumnRenamed("key", key)
+
+
+def _without_size(every: DataFrame) -> DataFrame:
+    return every.where("size = 0").select(F.lit(None).cast("long").alias("container"), "key", "piece", "first", "size")
+
+
+def pack_runs(df: DataFrame, key: str, size: str, capacity: int = CAPACITY, salts: int = 64) -> DataFrame:
+    """As ``pack``, planned on runs."""
     spark = df.sparkSession
     every = materialise(pieces(df, key, size, capacity), "pieces")
     histogram = {r["size"]: r["n"] for r in every.where("size <> 0").groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
@@ -87,8 +180,7 @@ def pack(df: DataFrame, key: str, size: str, capacity: int = CAPACITY, salts: in
     ranked = rank_in_groups(every.where("size <> 0"), ["size"], ["key", "piece"], "rank", salts)
     fit = (F.col("size") == F.col("r_size")) & (F.col("rank") >= F.col("r_rank")) & (F.col("rank") < F.col("r_rank") + F.col("r_items"))
     placed = ranked.join(runs, fit).select((F.col("r_first") + F.floor((F.col("rank") - F.col("r_rank")) / F.col("r_each"))).cast("long").alias("container"), "key", "piece", "first", "size")
-    empty = every.where("size = 0").select(F.lit(None).cast("long").alias("container"), "key", "piece", "first", "size")
-    return placed.unionByName(empty).withColumnRenamed("key", key)
+    return placed.unionByName(_without_size(every)).withColumnRenamed("key", key)
 
 
 def fill_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
