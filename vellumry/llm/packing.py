@@ -1,18 +1,16 @@
 """Best-fit-decreasing filling of fixed-capacity containers, by one of two plans with the same rules.
 
-Sweeps (``pack_sweeps``), for any capacity. Bulk-synchronous rounds over classes of size, from the largest down. In each round
+Sweeps (``pack_sweeps``), for any capacity and what ``pack`` does. Bulk-synchronous rounds over classes of size, from the largest down. In each round
 items and gaps are range-sorted together by value; every range is swept from the top, each item takes the smallest gap seen
 that holds it (its successor), larger items first where several want one gap (rank), and what is left of the gap goes on
 with the sweep. Items whose range has no gap for them go into the next round, whose ranges are cut elsewhere; what finds
 none in ``SWEEPS`` rounds opens containers, which the same sweep goes on filling. Gaps are updated between rounds as tables.
+A range holds the size of at least ``RANGE`` containers, so what ranges lose against one sweep over everything stays small.
 
-Runs (``pack_runs``), where there are at most ``RUN_SIZES`` sizes, that is for a small capacity. Items of one size can't be told
-apart by a best-fit rule, nor can containers of one gap, so the rounds shrink to one loop over runs, (size, range of ranks)
-for items and (gap, range of container numbers) for containers. The loop reads the histogram of sizes on the driver; the
-data take part in that histogram, one salted ranking and one join. It gives the number of containers of best-fit decreasing
-item by item, which sweeps over ranges come near to only.
-
-``pack`` takes runs up to ``RUN_SIZES``, sweeps beyond it.
+Runs (``pack_runs``), only for a capacity up to ``RUN_SIZES``, to compare with. Items of one size can't be told apart by a
+best-fit rule, nor can containers of one gap, so the rounds shrink to one loop over runs, (size, range of ranks) for items and
+(gap, range of container numbers) for containers. The loop reads the histogram of sizes on the driver; the data take part in
+that histogram, one salted ranking and one join. It gives the number of containers of best-fit decreasing item by item.
 
 Defined results: items of size 0 or null take no room and get a null container; a negative size is an error; an item
 above the capacity is cut into full pieces and one rest; repeated (key, size) rows count once.
@@ -35,6 +33,8 @@ from vellumry.scale import dense_id, materialise, rank_in_groups
 CAPACITY = 2048
 #: The most sizes for which the histogram goes to the driver.
 RUN_SIZES = 1 << 16
+#: Containers' worth of items in a range, at least.
+RANGE = 1024
 #: Rounds that look for gaps before containers are opened, and the classes of size (shares of the capacity, from the top).
 SWEEPS = 2
 CLASSES = [1 / 2, 1 / 4, 1 / 16, 0.0]
@@ -96,7 +96,7 @@ def pieces(df: DataFrame, key: str, size: str, capacity: int = CAPACITY) -> Data
 
 def pack(df: DataFrame, key: str, size: str, capacity: int = CAPACITY) -> DataFrame:
     """``container, key, piece, first, size``: every item once (or its pieces), with the container that holds it."""
-    return pack_runs(df, key, size, capacity) if capacity <= RUN_SIZES else pack_sweeps(df, key, size, capacity)
+    return pack_sweeps(df, key, size, capacity)
 
 
 def sweep(ranged: DataFrame, capacity: int, label: str, opening: bool) -> DataFrame:
@@ -140,10 +140,12 @@ def sweep(ranged: DataFrame, capacity: int, label: str, opening: bool) -> DataFr
 
 
 def pack_sweeps(df: DataFrame, key: str, size: str, capacity: int = CAPACITY, parts: int | None = None) -> DataFrame:
-    """As ``pack``, in distributed rounds; nothing but a number for each round (is anything left?) reaches the driver."""
+    """As ``pack``, in distributed rounds; the sum of sizes, and for each round whether anything is left, reach the driver."""
     spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     every = materialise(pieces(df, key, size, capacity), "pieces")
+    if parts is None:
+        total = every.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()["s"]
+        parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, total // (capacity * RANGE)))
     items = every.where("size <> 0").select("key", "piece", "first", F.col("size").alias("value"), F.lit(None).cast("string").alias("container"))
     gaps, placed, above = items.where("false"), [], capacity + 1
     for c, share in enumerate(CLASSES):
@@ -172,6 +174,8 @@ def _without_size(every: DataFrame) -> DataFrame:
 
 def pack_runs(df: DataFrame, key: str, size: str, capacity: int = CAPACITY, salts: int = 64) -> DataFrame:
     """As ``pack``, planned on runs."""
+    if capacity > RUN_SIZES:
+        raise ValueError(f"runs are for capacities up to {RUN_SIZES}")
     spark = df.sparkSession
     every = materialise(pieces(df, key, size, capacity), "pieces")
     histogram = {r["size"]: r["n"] for r in every.where("size <> 0").groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vellumry.llm import levels, packing, repeats, scans, tokens
-from vellumry.scale import table
+from vellumry.scale import materialise, table
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,12 +28,19 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = tokens.encode(table(spark, sf_dir, "documents"), "text", ["doc_id"], "n_tokens", count_only=True)
-    return packing.pack(sizes, "doc_id", "n_tokens")
+    return packing.pack(_sizes(spark, sf_dir), "doc_id", "n_tokens")
+
+
+def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(table(spark, sf_dir, "documents"), "text", ["doc_id"], "n_tokens", count_only=True)
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.fill_report(p8_containers(spark, sf_dir))
+    """How well the containers are filled, by each of the two plans."""
+    sizes = materialise(_sizes(spark, sf_dir), "sizes")
+    plans = {"sweeps": packing.pack_sweeps, "runs": packing.pack_runs}
+    reports = [packing.fill_report(plan(sizes, "doc_id", "n_tokens")).select(F.lit(name).alias("plan"), "*") for name, plan in plans.items()]
+    return reports[0].unionByName(reports[1])
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
