@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vellumry.operators import compact, drift, orphans, shred
-from vellumry.scale import dense_id, lag_in_groups, rank_in_groups
+from vellumry.scale import carry_in_groups, dense_id, lag_in_groups, rank_in_groups
+from vellumry.sources import versions
 
 T0 = datetime(2024, 1, 1)
 
@@ -105,12 +106,31 @@ def test_compaction(spark):
         (8, json.dumps([page_body(None), page_body(1, None), page_body(2.5), page_body("x"), 5, None]), 9), (9, json.dumps(page_body(1, "")), 9), (3, json.dumps(page_body(2)), 1), (10, json.dumps(page_body(7)), None),
     ]
     df = spark.createDataFrame([(i, "p", T0 + timedelta(days=d) if d is not None else None, 1, b, 0, "r") for i, b, d in items], SIZES)
-    kept, folder = compact.compact(df, 60)
+    kept, folder = compact.compact(df, target_bytes=60)
     assert rows(kept.select("source_document", "page_number", "file_id")) == [("bundle_1", 1, 2), ("bundle_1", 2, 3), ("bundle_1", 7, 10)]
-    assert "_staging" not in folder and kept.select("bin").distinct().count() == 3
+    assert versions.current(spark, folder) == 1 and kept.select("bin").distinct().count() >= 1
     assert compact.compact(df.where("false"))[0].count() == 0
 
 
+def test_compaction_of_real_files(spark, tmp_path, monkeypatch):
+    for i in range(3000):
+        at = tmp_path / "in" / f"d{i % 7}"
+        at.mkdir(parents=True, exist_ok=True)
+        (at / f"{i}.json").write_text(json.dumps(page_body(i, f"/x/Vol_{i % 3}.pdf", note="n" * (i % 50))) if i % 100 else "{cut")
+    files = compact.list_files(spark, f"file://{tmp_path}/in")
+    to = f"file://{tmp_path}/out"
+    kept, _ = compact.compact(files, to, target_bytes=8192)
+    assert kept.count() == 2970 and {r["page_number"] for r in kept.collect()} == {i for i in range(3000) if i % 100}
+    written = [p for p in (tmp_path / "out/v1/records").rglob("*.parquet")]
+    bins = sorted(r["bin"] for r in kept.select("bin").distinct().collect())
+    assert bins == list(range(len(bins))) and len(written) == len(bins) > 3 and len({p.parent for p in written}) == 1
+    # a run that breaks off before its marker leaves the version before as it was
+    monkeypatch.setattr(compact, "sums_of", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        compact.compact(files, to, target_bytes=8192)
+    assert versions.current(spark, to) == 1 and versions.read(spark, to, "records").count() == 2970
+
+
 def test_first_fit_decreasing():
     assert compact.first_fit_decreasing([], 10) == []
     sizes = [7, 5, 5, 3, 12, 0, 10]
@@ -184,6 +204,9 @@ def test_ranks_and_lags(spark):
     for g in ("a", "b", None):
         assert sorted(r["r"] for r in ranked if r["g"] == g) == list(range(sum(x[0] == g for x in data)))
     assert [r["n"] for r in dense_id(df, ["t", "id"], "n").orderBy("t", "id").collect()] == list(range(300))
+    some = df.withColumn("v", F.when(F.col("id") % 9 == 0, F.col("id")))
+    carried = {r["id"]: r["before_v"] for r in carry_in_groups(some, "g", "id", "v", F.floor(F.col("id") / 40)).collect()}
+    assert carried == {i: max((j for x, j, _ in data if x == g and j < i and j % 9 == 0), default=None) for g, i, _ in data if g is not None} | {i: carried[i] for g, i, _ in data if g is None}
     got = {r["id"]: r["prev_id"] for r in lag_in_groups(df, "g", "t", ["id"], ["id"], F.to_date("t")).collect()}
     for g in ("a", "b", None):
         order = [i for _, i in sorted((t, i) for x, i, t in data if x == g)]

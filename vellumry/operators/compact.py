@@ -1,8 +1,11 @@
 """Consolidation of very many small files into few well-sized ones, without losing or doubling records.
 
-Steps: freeze a manifest (a written table, so that what is listed can't change underway); read each body; choose the
-record to keep for each key; bin-pack the files that hold kept records by size, first-fit decreasing; rewrite each bin as
-one file in a staging folder; read that back and compare counts and checksums of every bin; rename the folder into place.
+Steps: freeze a manifest of what is listed (number, time, size and checksum of each file; no bodies); read the bodies and check
+that they are those of the manifest; choose the record to keep for each key; bin-pack the files that hold kept records by
+size, first-fit decreasing; rewrite each bin as one file of a new version; read that back and compare counts and checksums of
+every bin; set the version's marker. Until the marker stands readers see the version before, or none.
+
+Sizes are bytes as written: text sizes times the ratio that the kept records, once written, are found to have.
 
 Defined results: null, empty, blank and cut-off bodies, records that aren't objects, and records without a usable page
 number (whole, also as text or decimal) or document name are listed in the manifest and kept out of the result. Repeated
@@ -11,16 +14,24 @@ deliveries of a file count once.
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellumry.scale import materialise, salt, shared_dir
+from vellumry.scale import materialise, new_path, salt
+from vellumry.sources import versions
 
 TARGET_BYTES = 32 << 20
 CHUNK_BINS, CHUNK_FILES = 64, 1_000_000
+#: Files in one folder of a compacted table.
+FOLDER_BINS = 1024
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """``file_id, file_path, written_at, n_bytes, body`` of the files under a folder; the number is a hash of the path."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    body = F.col("content").cast("string")
+    return df.select(F.xxhash64("path").alias("file_id"), F.col("path").alias("file_path"), F.col("modificationTime").alias("written_at"), F.col("length").alias("n_bytes"), body.alias("body"))
 
 
 def document_name(path: Column) -> Column:
@@ -73,7 +84,7 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
 
 
 def pack_files(weights: DataFrame, target_bytes: int) -> DataFrame:
-    """``file_id, bin`` from ``file_id, bytes``.
+    """``file_id, bin`` from ``file_id, bytes``; bins are numbered from 0 without gaps.
 
     The manifest is cut by hash into chunks of a bounded number of bins and files, each packed on its own; that costs at
     most one part-filled bin for each chunk. Two sums reach the driver.
@@ -83,9 +94,13 @@ def pack_files(weights: DataFrame, target_bytes: int) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("file_id")
-        return pd.DataFrame({"file_id": pdf["file_id"], "bin": pdf["chunk"].astype("int64") * CHUNK_FILES + first_fit_decreasing([int(x) for x in pdf["bytes"]], target_bytes)})
+        return pd.DataFrame({"file_id": pdf["file_id"], "chunk": pdf["chunk"], "local": first_fit_decreasing([int(x) for x in pdf["bytes"]], target_bytes)})
 
-    return weights.withColumn("chunk", salt(chunks, "file_id")).groupBy("chunk").applyInPandas(run, "file_id long, bin long")
+    packed = weights.withColumn("chunk", salt(chunks, "file_id")).groupBy("chunk").applyInPandas(run, "file_id long, chunk int, local long")
+    packed = materialise(packed, "packed")
+    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row for each chunk
+    shift = packed.groupBy("chunk").agg((F.max("local") + 1).alias("n")).select("chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    return packed.join(shift, "chunk").select("file_id", (F.col("shift") + F.col("local")).cast("long").alias("bin"))
 
 
 def sums_of(df: DataFrame, *by: str) -> DataFrame:
@@ -93,36 +108,49 @@ def sums_of(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(content).alias("checksum"))
 
 
-def compact(files: DataFrame, target_bytes: int = TARGET_BYTES) -> tuple[DataFrame, str]:
-    """The consolidated records, read from the committed folder, and that folder."""
+def _total(df: DataFrame) -> list[Column]:
+    content = F.xxhash64("file_id", "written_at", "body").cast("decimal(38,0)")
+    return [F.count("*").alias("files"), F.sum(content).alias("checksum")]
+
+
+def _written_bytes(spark: SparkSession, path: str) -> int:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+def compact(files: DataFrame, destination: str | None = None, target_bytes: int = TARGET_BYTES) -> tuple[DataFrame, str]:
+    """The consolidated records, read from the committed version, and the folder of all versions (``destination``).
+
+    ``files`` has ``file_id, written_at, body``. Without a destination the result goes to the session's scratch folder.
+    """
     spark = files.sparkSession
-    listed = files.select("file_id", "written_at", "body").distinct()
-    frozen = materialise(listed.withColumns({"bytes": F.octet_length("body"), "body_sum": F.xxhash64("body")}), "manifest")
-    kept = materialise(keep_latest(read_records(frozen)), "kept")
-    weights = kept.groupBy("file_id").agg(F.sum(F.octet_length("record") + 1).alias("bytes"))
-    binned = kept.join(pack_files(weights, target_bytes), "file_id")
-    base = f"{shared_dir(spark)}/vellumry"
-    name = uuid.uuid4().hex
-    staging, final = f"{base}/_staging-{name}", f"{base}/compact-{name}"
-    binned.repartition("bin").write.partitionBy("bin").parquet(staging)
-    schema = kept.schema.add("bin", "long")
-    back = spark.read.schema(schema).parquet(staging)
-    whole, again = sums_of(kept).first(), sums_of(back).first()
+    destination = destination or new_path(spark, "compact")
+    listed = files.select("file_id", "written_at", "body")
+    manifest = materialise(listed.select("file_id", "written_at", F.octet_length("body").alias("bytes"), F.xxhash64("file_id", "written_at", "body").alias("body_sum")), "manifest")
+    frozen = manifest.agg(F.count("*").alias("files"), F.sum(F.col("body_sum").cast("decimal(38,0)")).alias("checksum")).first()
+    seen = Observation("bodies")
+    kept_at = new_path(spark, "kept")
+    keep_latest(read_records(listed.observe(seen, *_total(listed)))).write.parquet(kept_at)
+    if (seen.get["files"], seen.get["checksum"]) != (frozen["files"], frozen["checksum"]):
+        raise RuntimeError("the files aren't those of the manifest any more")
+    kept = spark.read.parquet(kept_at)
+    text = kept.agg(F.coalesce(F.sum(F.octet_length("record") + 1), F.lit(0)).alias("b")).first()["b"]
+    ratio = _written_bytes(spark, kept_at) / text if text else 1.0
+    weights = kept.groupBy("file_id").agg(F.ceil(F.sum(F.octet_length("record") + 1) * F.lit(ratio)).cast("long").alias("bytes"))
+    binned = materialise(kept.join(pack_files(weights, target_bytes), "file_id"), "binned")
+    bins = (binned.agg(F.max("bin").alias("n")).first()["n"] or 0) + 1
+    version = versions.current(spark, destination) + 1
+    target = f"{destination}/v{version}/records"
+    one_file = binned.withColumn("folder", F.floor(F.col("bin") / FOLDER_BINS).cast("int")).repartitionById(bins, F.col("bin").cast("int"))
+    one_file.write.mode("overwrite").partitionBy("folder").parquet(target)
+    back = spark.read.schema(one_file.schema).parquet(target).select(*binned.columns)
     twice = sums_of(back, "bin").withColumnsRenamed({"rows": "rows2", "checksum": "checksum2"})
     apart = sums_of(binned, "bin").join(twice, "bin", "full").where("not (rows <=> rows2 and checksum <=> checksum2)").count()
+    whole, again = sums_of(kept).first(), sums_of(back).first()
     if whole != again or apart:
-        raise RuntimeError(f"rewritten bins don't agree with what was listed: {whole} {again}, {apart} bins")
-    commit(spark, staging, final)
-    return spark.read.schema(schema).parquet(final), final
-
-
-def commit(spark, staging: str, final: str) -> None:
-    """One rename within the shared folder: readers see all bins or none."""
-    jvm = spark._jvm
-    source = jvm.org.apache.hadoop.fs.Path(staging)
-    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.rename(source, jvm.org.apache.hadoop.fs.Path(final)):
-        raise RuntimeError(f"commit of {final} failed")
+        raise RuntimeError(f"rewritten bins don't agree with what was kept: {whole} {again}, {apart} bins")
+    versions.mark(spark, destination, version)
+    return back, destination
 
 
 def bin_sizes(compacted: DataFrame) -> DataFrame:
