@@ -3,7 +3,9 @@
 ``shred`` turns each record into nodes ``(node, parent, label, ordinal, scalar)``: array elements are nodes, also null
 ones, so that positions are kept; members of a struct are scalar nodes under the element that holds them, with dotted
 labels for structs within structs; missing members and null or empty arrays give no node. ``entities`` joins the object
-nodes with their scalar children, as one aggregation over the node each row belongs to.
+nodes with their scalar children, as one aggregation over the node each row belongs to. A node is named by its path, a
+letter for the member (by its place in the schema) and the ordinal of the element: ``a0b12`` is element 12 of the second
+member of element 0.
 
 A record is one row of the input, so what is unfolded from it at once is bounded by the row. ``labels`` prunes the
 unfolding to the members that are asked for.
@@ -15,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellumry.scale import materialise
+
 NODE = "struct<node:string,parent:string,label:string,ordinal:int,scalar:string>"
 #: Spans are looked up in buckets of these widths: a span lies in at most two buckets of the first width not below its length.
 WIDTHS = [1 << 6, 1 << 10, 1 << 16, 1 << 24, 1 << 62]
@@ -24,31 +28,36 @@ def _node(node: Column, parent: Column, label: str, ordinal: Column, scalar: Col
     return F.struct(node.alias("node"), parent.alias("parent"), F.lit(label).alias("label"), ordinal.cast("int").alias("ordinal"), scalar.cast("string").alias("scalar"))
 
 
-def _nodes(value: Column, kind: T.DataType, at: Column, label: str, path: str, labels: set[str] | None) -> list[Column]:
+def _code(i: int) -> str:
+    return chr(97 + i) if i < 25 else "z" + _code(i - 25)
+
+
+def _nodes(value: Column, kind: T.DataType, at: Column, label: str, path: str, code: str, labels: set[str] | None) -> list[Column]:
     """Arrays of nodes for a member ``label`` of the node ``at``."""
-    under = lambda p: labels is None or any(x == p or x.startswith(p + ".") for x in labels)
+    under = lambda p: labels is None or any(x == p or x.startswith(p + ".") or p.startswith(x + ".") for x in labels)
     if not under(path):
         return []
     if isinstance(kind, T.ArrayType):
 
         def element(x: Column, i: Column) -> Column:
-            own = F.concat(at, F.lit(f"/{label}"), i.cast("string"))
+            own = F.concat(at, F.lit(code), i.cast("string"))
             if isinstance(kind.elementType, T.StructType):
-                parts = [p for f in kind.elementType.fields for p in _nodes(x[f.name], f.dataType, own, f.name, f"{path}.{f.name}", labels)]
+                members = enumerate(kind.elementType.fields)
+                parts = [p for k, f in members for p in _nodes(x[f.name], f.dataType, own, f.name, f"{path}.{f.name}", _code(k), labels)]
                 return F.concat(F.array(_node(own, at, label, i, F.lit(None))), *parts)
             return F.array(_node(own, at, label, i, x))
 
         return [F.coalesce(F.flatten(F.transform(value, element)), F.array().cast(f"array<{NODE}>"))]
     if isinstance(kind, T.StructType):
-        return [p for f in kind.fields for p in _nodes(value[f.name], f.dataType, at, f"{label}.{f.name}", f"{path}.{f.name}", labels)]
-    here = F.array(_node(F.concat(at, F.lit(f"/{label}")), at, label, F.lit(0), value))
+        return [p for k, f in enumerate(kind.fields) for p in _nodes(value[f.name], f.dataType, at, f"{label}.{f.name}", f"{path}.{f.name}", code + _code(k), labels)]
+    here = F.array(_node(F.concat(at, F.lit(code)), at, label, F.lit(0), value))
     return [F.when(value.isNotNull(), here).otherwise(F.array().cast(f"array<{NODE}>"))]
 
 
 def shred(df: DataFrame, key: str, columns: list[str], labels: set[str] | None = None) -> DataFrame:
     """``key, node, parent, label, ordinal, scalar``; ``labels`` are the paths of members to unfold (all if None)."""
     root = F.lit("")
-    parts = [p for c in columns for p in _nodes(F.col(c), df.schema[c].dataType, root, c, c, labels)]
+    parts = [p for k, c in enumerate(columns) for p in _nodes(F.col(c), df.schema[c].dataType, root, c, c, _code(k), labels)]
     return df.select(F.col(key), F.explode(F.concat(*parts)).alias("n")).select(key, "n.*")
 
 
@@ -65,9 +74,9 @@ def entities(nodes: DataFrame, key: str, label: str, scalars: dict[str, str]) ->
     return out.where("ordinal is not null").withColumnRenamed("_owner", "node")
 
 
-def index_in(node: Column, label: str) -> Column:
-    """The position that a node's name gives for its ancestor (or itself) ``label``."""
-    return F.regexp_extract(node, f"/{label}(\\d+)", 1).try_cast("long")
+def index_in(node: Column, depth: int) -> Column:
+    """The ordinal that a node's name gives for its ancestor (or itself) at a depth, from 1."""
+    return F.get(F.split(node, "[a-z]+"), F.lit(depth)).try_cast("long")
 
 
 def latest(reads: DataFrame, columns: tuple[str, ...] = ("pages",), key: str = "read_id", at: str = "received_at") -> DataFrame:
@@ -77,22 +86,47 @@ def latest(reads: DataFrame, columns: tuple[str, ...] = ("pages",), key: str = "
     return reads.join(last, F.col(key).eqNullSafe(F.col("_k")) & F.col(at).eqNullSafe(F.col("_at")), "left_semi")
 
 
+#: The members that each entity table of a read is pivoted from.
+TABLES = {
+    "pages": {"pages.pagenumber"},
+    "words": {"pages.words.content", "pages.words.confidence"},
+    "lines": {"pages.lines.content"},
+    "spans": {"pages.words.span", "pages.lines.spans"},
+    "points": {"pages.words.polygon", "pages.lines.polygon"},
+}
+
+
+def _member(reads: DataFrame, name: str) -> str:
+    """The letter of a page's member in the names of nodes."""
+    return _code([f.name for f in reads.schema["pages"].dataType.elementType.fields].index(name))
+
+
+def read_table(reads: DataFrame, name: str, nodes: DataFrame | None = None) -> DataFrame:
+    """``pages, words, lines, spans`` or ``points`` with keys to their parents; only the members it needs are unfolded."""
+    nodes = shred(latest(reads), "read_id", ["pages"], TABLES[name]) if nodes is None else nodes
+    page, second = index_in(F.col("node"), 1).alias("page_index"), index_in(F.col("node"), 2)
+    of_word = F.col("node").rlike(f"^a[0-9]+{_member(reads, 'words')}[0-9]")
+    if name == "pages":
+        return entities(nodes, "read_id", "pages", {"pagenumber": "bigint"}).select("read_id", page, "pagenumber")
+    if name == "words":
+        return entities(nodes, "read_id", "words", {"content": "string", "confidence": "double"}).select("read_id", page, F.col("ordinal").cast("long").alias("word_index"), "content", "confidence")
+    if name == "lines":
+        return entities(nodes, "read_id", "lines", {"content": "string"}).select("read_id", page, F.col("ordinal").cast("long").alias("line_index"), "content")
+    if name == "spans":
+        inline = entities(nodes, "read_id", "words", {"span.offset": "bigint", "span.length": "bigint"}).where("span_offset is not null or span_length is not null")
+        own = inline.select("read_id", page, F.lit("word").alias("owner"), F.col("ordinal").cast("long").alias("owner_index"), F.lit(0).cast("long").alias("span_index"), F.col("span_offset").alias("offset"), F.col("span_length").alias("length"))
+        listed = entities(nodes, "read_id", "spans", {"offset": "bigint", "length": "bigint"})
+        return own.unionByName(listed.select("read_id", page, F.lit("line").alias("owner"), second.alias("owner_index"), F.col("ordinal").cast("long").alias("span_index"), "offset", "length"))
+    at = ["read_id", "page_index", "owner", "owner_index", "point_index"]
+    owner = F.when(of_word, "word").otherwise("line").alias("owner")
+    corner = nodes.where("label = 'polygon'").select("read_id", page, owner, second.alias("owner_index"), F.floor(F.col("ordinal") / 2).cast("long").alias("point_index"), (F.col("ordinal") % 2).alias("axis"), F.col("scalar").cast("double").alias("v"))
+    return corner.groupBy(*at).agg(F.max(F.when(F.col("axis") == 0, F.col("v"))).alias("x"), F.max(F.when(F.col("axis") == 1, F.col("v"))).alias("y"))
+
+
 def read_tables(reads: DataFrame) -> dict[str, DataFrame]:
-    """``pages, words, lines, spans, points`` with keys to their parents, from one shredding."""
-    nodes = shred(latest(reads), "read_id", ["pages"])
-    page = index_in(F.col("node"), "pages").alias("page_index")
-    pages = entities(nodes, "read_id", "pages", {"pagenumber": "bigint"}).select("read_id", page, "pagenumber")
-    words = entities(nodes, "read_id", "words", {"content": "string", "confidence": "double"}).select("read_id", page, F.col("ordinal").cast("long").alias("word_index"), "content", "confidence")
-    lines = entities(nodes, "read_id", "lines", {"content": "string"}).select("read_id", page, F.col("ordinal").cast("long").alias("line_index"), "content")
-    owner = F.when(F.col("node").contains("/words"), "word").otherwise("line").alias("owner")
-    owner_index = F.coalesce(F.nullif(F.regexp_extract("node", r"/(?:words|lines)(\d+)", 1), F.lit("")).cast("long"), F.lit(-1)).alias("owner_index")
-    inline = entities(nodes, "read_id", "words", {"span.offset": "bigint", "span.length": "bigint"}).where("span_offset is not null or span_length is not null")
-    spans = inline.select("read_id", page, F.lit("word").alias("owner"), F.col("ordinal").cast("long").alias("owner_index"), F.lit(0).cast("long").alias("span_index"), F.col("span_offset").alias("offset"), F.col("span_length").alias("length")).unionByName(
-        entities(nodes, "read_id", "spans", {"offset": "bigint", "length": "bigint"}).select("read_id", page, F.lit("line").alias("owner"), index_in(F.col("node"), "lines").alias("owner_index"), F.col("ordinal").cast("long").alias("span_index"), "offset", "length")
-    )
-    corner = nodes.where("label = 'polygon'").select("read_id", page, owner, owner_index, F.floor(F.col("ordinal") / 2).cast("long").alias("point_index"), (F.col("ordinal") % 2).alias("axis"), F.col("scalar").cast("double").alias("v"))
-    points = corner.groupBy("read_id", "page_index", "owner", "owner_index", "point_index").agg(F.max(F.when(F.col("axis") == 0, F.col("v"))).alias("x"), F.max(F.when(F.col("axis") == 1, F.col("v"))).alias("y"))
-    return {"pages": pages, "words": words, "lines": lines, "spans": spans, "points": points}
+    """All entity tables, from one adjacency table that is written once."""
+    nodes = materialise(shred(latest(reads), "read_id", ["pages"]), "nodes")
+    return {name: read_table(reads, name, nodes) for name in TABLES}
 
 
 def _level(length: Column) -> Column:
@@ -134,8 +168,8 @@ def words_to_lines(reads: DataFrame) -> DataFrame:
 
     Line -1: the word has no span, or no line's span holds its offset. Of several lines the last in the array wins.
     """
-    nodes = shred(latest(reads), "read_id", ["pages"], {"pages.words.span.offset", "pages.lines.spans.offset", "pages.lines.spans.length"})
-    page = index_in(F.col("node"), "pages").alias("page_index")
+    nodes = materialise(shred(latest(reads), "read_id", ["pages"], {"pages.words.span.offset", "pages.lines.spans.offset", "pages.lines.spans.length"}), "nodes")
+    page = index_in(F.col("node"), 1).alias("page_index")
     words = entities(nodes, "read_id", "words", {"span.offset": "bigint"}).select("read_id", page, F.col("ordinal").cast("long").alias("word_index"), "span_offset")
-    spans = entities(nodes, "read_id", "spans", {"offset": "bigint", "length": "bigint"}).select("read_id", page, index_in(F.col("node"), "lines").alias("line_index"), "offset", "length")
+    spans = entities(nodes, "read_id", "spans", {"offset": "bigint", "length": "bigint"}).select("read_id", page, index_in(F.col("node"), 2).alias("line_index"), "offset", "length")
     return covering(words, spans).groupBy("read_id", "page_index", "word_index").agg(F.coalesce(F.max("line_index"), F.lit(-1)).cast("long").alias("line_index"))

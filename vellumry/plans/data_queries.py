@@ -25,7 +25,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _p2(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: shred.read_tables(table(spark, sf_dir, "ocr_reads"))[name]
+    return lambda spark, sf_dir: shred.read_table(table(spark, sf_dir, "ocr_reads"), name)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
