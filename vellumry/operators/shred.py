@@ -80,10 +80,16 @@ def index_in(node: Column, depth: int) -> Column:
 
 
 def latest(reads: DataFrame, columns: tuple[str, ...] = ("pages",), key: str = "read_id", at: str = "received_at") -> DataFrame:
-    """Of deliveries of one read the last, with its key, time and ``columns``; copies with the same time stay and fall together later."""
-    reads = reads.select(key, at, *columns)
-    last = reads.groupBy(F.col(key).alias("_k")).agg(F.max(at).alias("_at"))
-    return reads.join(last, F.col(key).eqNullSafe(F.col("_k")) & F.col(at).eqNullSafe(F.col("_at")), "left_semi")
+    """Of deliveries of one read the last, with its key, time and ``columns``; copies with the same time stay and fall together later.
+
+    The older deliveries are found without the nested columns and written; few as they are, Catalyst can broadcast them, and
+    the records themselves are never shuffled.
+    """
+    times = reads.select(key, at).distinct()
+    last = times.groupBy(F.col(key).alias("_k")).agg(F.max(at).alias("_at"))
+    older = times.join(last, F.col(key).eqNullSafe(F.col("_k"))).where(~F.col(at).eqNullSafe(F.col("_at"))).select(F.col(key).alias("_k"), F.col(at).alias("_at"))
+    older = materialise(older, "older")
+    return reads.select(key, at, *columns).join(older, F.col(key).eqNullSafe(F.col("_k")) & F.col(at).eqNullSafe(F.col("_at")), "left_anti")
 
 
 #: The members that each entity table of a read is pivoted from.
