@@ -45,14 +45,49 @@ def test_rescue_and_replay(spark):
     first, second = sorted(got.collect(), key=lambda r: r["record_no"])
     assert first["error_id"] == 7 and first["page_number"] is None and json.loads(first["rescued"]) == {"page_number": "x", "offset_in_page": 12.0, "ctx": ["a", "b"], "extra": [1]}
     assert second["error_id"] is None and json.loads(second["rescued"]) == {"error_id": 1.5, "context.line_text": "t"}
-    first, second = sorted(drift.promote(got).collect(), key=lambda r: r["record_no"])
+    approved = {**drift.DEFAULT, "ctx": "context", "offset_in_page": "character_number"}
+    first, second = sorted(drift.promote(got, approved).collect(), key=lambda r: r["record_no"])
     assert (first["character_number"], first["context"], json.loads(first["rescued"])) == (12, "a b", {"page_number": "x", "extra": [1]})
     assert second["context"] == "t"
 
 
+def test_names_are_approved_from_the_renames_found(spark):
+    ids = range(1, 4)
+    bodies = [
+        [{"error_id": i, "character_number": 40 + i, "context": {"line_text": f"t{i}"}, "images": {"context": f"c{i}", "error": f"e{i}"}, "x.y": i} for i in ids],
+        [{"error_id": i, "start.at": 40 + i, "context": f"t{i}", "pics": {"context": f"c{i}", "word": f"e{i}"}, "x.y": i} for i in ids],
+        [{"error_id": i, "start.at": float(40 + i), "around": {"text": f"t{i}"}, "pics": {"line": f"c{i}", "word": f"e{i}"}, "z.y": i} for i in ids],
+    ]
+    got = drift.ingest(files(spark, [(n, "s", n, json.dumps(b)) for n, b in enumerate(bodies)] + [(3, "t", 0, json.dumps([{"error_id": 9, "pics": {"word": "w"}, "z.y": 5}]))]))
+    found = drift.comparisons(got)
+    assert {(r["file_id"], r["field"], r["change"]) for r in drift.changes(got).collect()} == {
+        (1, "character_number", "renamed"), (1, "context", "type_changed"), (1, "images", "renamed"), (1, "images.error", "renamed"),
+        (2, "start.at", "type_changed"), (2, "context", "renamed"), (2, "context", "type_changed"), (2, "pics.context", "renamed"), (2, "x.y", "renamed"),
+    }
+    approved = drift.approvals(drift.drift_links(found))
+    assert approved == {
+        "character_number": "character_number", "start\\.at": "character_number", "context": "context", "context.line_text": "context", "around": "context", "around.text": "context",
+        "images.context": "image_context", "pics.context": "image_context", "pics.line": "image_context", "images.error": "image_error", "pics.word": "image_error",
+        **{c: c for c in ("error_id", "error_type", "source_document", "page_number", "line_number", "word_number", "error", "image_context", "image_error")},
+    }
+    typed = {(r["file_id"], r["error_id"]): (r["character_number"], r["context"], r["image_context"], r["image_error"], json.loads(r["rescued"])) for r in drift.promote(got, approved).collect()}
+    for n in range(3):
+        for i in ids:
+            assert typed[n, i] == (40 + i, f"t{i}", f"c{i}", f"e{i}", {"x\\.y" if n < 2 else "z\\.y": i})
+    assert typed[3, 9] == (None, None, None, "w", {"z\\.y": 5})
+
+
+def test_every_file_has_a_status(spark):
+    bodies = [None, " ", "[{", "[]", '{"errors": null}', '{"errors": []}', '{"errors": [{"a": 1}]}', '[{"a": 1}, {"b": 2}]', '{"a": 1}\n{"a": 2}']
+    df = files(spark, [(i, "s", i, b) for i, b in enumerate(bodies)] + [(8, "s", 8, bodies[8])])
+    want = ["null", "blank", "unreadable", "no records", "no records", "no records", "read", "read", "read"]
+    assert rows(drift.statuses(df)) == [(i, w, n) for i, (w, n) in enumerate(zip(want, [0] * 6 + [1, 2, 2]))]
+
+
 def test_no_files(spark):
     none = drift.ingest(files(spark, []).where("false"))
     assert drift.changes(none).count() == 0 and drift.promote(none).count() == 0
+    assert drift.approvals(drift.drift_links(drift.comparisons(none)))["images.error"] == "image_error" and drift.statuses(files(spark, []).where("false")).count() == 0
 
 
 # Shredding

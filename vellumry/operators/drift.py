@@ -2,12 +2,14 @@
 
 ``ingest`` parses each file once and gives one row for each record: the target columns, typed; ``rescued``, a JSON object
 of every unknown field and every value that its column can't take; ``observed``, a JSON object of each field's type and
-facts as written. ``promote`` replays rescued values of approved fields into typed columns. ``changes`` orders the files
-of a series, compares neighbours and reports fields added, removed, renamed and retyped.
+facts as written. ``changes`` orders the files of a series, compares neighbours and reports fields added, removed, renamed
+and retyped. ``approvals`` follows the renames of that report from the fields of the default schema (``DEFAULT``) to all names
+that their facts have gone by, and ``promote`` replays the rescued values of approved fields into typed columns. No list of
+other names is kept anywhere.
 
 A file is an object with a list ``errors``, a bare list, or one object on each line. Files that are null, blank, cut off
-or hold no record give no rows (``statuses`` counts them). Repeated deliveries of a file count once. Values that are
-missing and values that are null differ in ``observed`` only.
+or hold no record give no rows; ``statuses`` has a row for each file. Repeated deliveries of a file count once. Values that
+are missing and values that are null differ in ``observed`` only. A dot within a name is written ``\\.`` in ``rescued``.
 """
 
 from __future__ import annotations
@@ -38,16 +40,10 @@ TARGET = T.StructType(
         T.StructField("image_error", T.StringType()),
     ]
 )
-#: Approved fields: the column each is replayed into.
-APPROVED = {
-    "context.line_text": "context", "context.text": "context", "surrounding": "context", "surrounding.line_text": "context", "surrounding.text": "context",
-    "line_context": "context", "line_context.line_text": "context", "ctx": "context", "ctx.line_text": "context", "context_line": "context", "context_line.line_text": "context",
-    "char_number": "character_number", "char_offset": "character_number", "offset_in_page": "character_number", "start_at": "character_number",
-    "images.context": "image_context", "images.error": "image_error", "images.page": "image_context", "images.word": "image_error",
-    "pictures.context": "image_context", "pictures.error": "image_error", "pictures.page": "image_context", "pictures.word": "image_error",
-    "crops.context": "image_context", "crops.error": "image_error", "crops.page": "image_context", "crops.word": "image_error",
-    "image_paths.context": "image_context", "image_paths.error": "image_error",
-}
+#: Where the columns that aren't named like a field stand in the default schema.
+DEFAULT = {"context.line_text": "context", "images.context": "image_context", "images.error": "image_error"}
+#: Between the names of a path; a name may hold a dot.
+_SEP = "\x1e"
 #: Names of types as reported.
 KINDS = {str: "text", bool: "true/false", int: "whole number", float: "decimal number", list: "list", dict: "object"}
 RENAME_SHARE = 0.9
@@ -67,10 +63,20 @@ def parse_records(body: str | None) -> list[dict] | None:
         except (ValueError, RecursionError):
             return None
     if isinstance(value, dict):
-        value = value["errors"] if isinstance(value.get("errors"), list) else [value]
+        listed = value.get("errors", value)
+        value = listed if isinstance(listed, list) else [] if listed is None else [value]
     return [r for r in value if isinstance(r, dict)] if isinstance(value, list) else None
 
 
+def status_of(body: str | None) -> tuple[str, int]:
+    if body is None:
+        return "null", 0
+    if not body.strip():
+        return "blank", 0
+    records = parse_records(body)
+    return ("unreadable", 0) if records is None else ("read", len(records)) if records else ("no records", 0)
+
+
 def leaves(value) -> Iterator[str]:
     if isinstance(value, dict):
         for v in value.values():
@@ -98,12 +104,12 @@ def facts(value) -> str | None:
 
 
 def observe(record: dict, prefix: str = "") -> dict[str, list]:
-    """``{path: [type or null, facts or null]}`` of a record, members of objects under ``parent.member``."""
+    """``{path: [type or null, facts or null]}`` of a record; a path is the names down to a member."""
     out: dict[str, list] = {}
     for name, value in record.items():
         out[prefix + name] = [KINDS.get(type(value)), facts(value)]
         if isinstance(value, dict):
-            out |= observe(value, f"{prefix}{name}.")
+            out |= observe(value, f"{prefix}{name}{_SEP}")
     return out
 
 
@@ -129,10 +135,11 @@ def as_type(value, kind: T.DataType):
 
 def flatten(record: dict, prefix: str = "") -> Iterator[tuple[str, object]]:
     for name, value in record.items():
+        path = prefix + name.replace(".", "\\.")
         if isinstance(value, dict) and value:
-            yield from flatten(value, f"{prefix}{name}.")
+            yield from flatten(value, f"{path}.")
         else:
-            yield prefix + name, value
+            yield path, value
 
 
 def enforce(record: dict, target: T.StructType) -> tuple[list, str | None]:
@@ -176,7 +183,43 @@ def ingest(files: DataFrame, target: T.StructType = TARGET) -> DataFrame:
     return narrow.mapInPandas(run, schema)
 
 
-def promote(records: DataFrame, approved: dict[str, str] = APPROVED, target: T.StructType = TARGET) -> DataFrame:
+def statuses(files: DataFrame) -> DataFrame:
+    """``file_id, status, records`` of every file: null, blank, unreadable, no records or read."""
+    narrow = files.select("file_id", "series", F.col("exported_at").cast("timestamp_ntz").alias("exported_at"), "body").distinct()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [status_of(body) for body in pdf["body"]]
+            yield pd.DataFrame({"file_id": pdf["file_id"], "status": pd.Series([s for s, _ in got], dtype="object"), "records": pd.Series([n for _, n in got], dtype="int64")})
+
+    return narrow.mapInPandas(run, "file_id long, status string, records long").distinct()
+
+
+def approvals(links: DataFrame, target: T.StructType = TARGET, default: dict[str, str] = DEFAULT) -> dict[str, str]:
+    """``{path: column}`` of all names that the fields of the default schema have gone by, from the renames of ``drift_links``.
+
+    A name that leads to two columns is approved for neither. The distinct renames reach the driver, two for each name of
+    the schema at most as many as it has had names.
+    """
+    next_to: dict[str, set[str]] = {}
+    for r in links.select("field", "new_field").distinct().collect():
+        next_to.setdefault(r["field"], set()).add(r["new_field"])
+        next_to.setdefault(r["new_field"], set()).add(r["field"])
+    sources = {**{f.name: f.name for f in target.fields}, **default}
+    reached: dict[str, set[str]] = {}
+    for source, column in sources.items():
+        todo, seen = [source], {source}
+        while todo:
+            for name in next_to.get(todo.pop(), set()) - seen:
+                if name not in sources:
+                    seen.add(name)
+                    todo.append(name)
+        for name in seen:
+            reached.setdefault(name, set()).add(column)
+    return {name: next(iter(columns)) for name, columns in sorted(reached.items()) if len(columns) == 1}
+
+
+def promote(records: DataFrame, approved: dict[str, str] = DEFAULT, target: T.StructType = TARGET) -> DataFrame:
     """``records`` with rescued values of approved fields in their typed columns, and taken out of ``rescued``.
 
     A column that has a value keeps it. Lists of text are joined by spaces; a value that the column can't take stays rescued.
@@ -208,8 +251,12 @@ def promote(records: DataFrame, approved: dict[str, str] = APPROVED, target: T.S
     return records.mapInPandas(run, records.schema)
 
 
-def compare(before: list[tuple[object, dict]], after: list[tuple[object, dict]]) -> list[tuple[str, str]]:
-    """``(field, change)`` between two files, each a list of (record key, ``{path: [type, facts]}``)."""
+def compare(before: list[tuple[object, dict]], after: list[tuple[object, dict]]) -> list[tuple[str, str, str | None]]:
+    """``(field, change, new name)`` between two files, each a list of (record key, ``{path: [type, facts]}``).
+
+    ``moved`` stands for a member of a renamed parent, or for the only text in an object that becomes text: the same facts
+    under another path, without a change of the field's own.
+    """
 
     def profile(records):
         kinds: dict[str, set] = {}
@@ -224,10 +271,12 @@ def compare(before: list[tuple[object, dict]], after: list[tuple[object, dict]])
     kinds1, facts1 = profile(before)
     kinds2, facts2 = profile(after)
     shared = [k for k in facts1 if k in facts2]
-    out: list[tuple[str, str]] = []
+    out: list[tuple[str, str, str | None]] = []
+    shown = lambda path: path.replace(_SEP, ".")
+    dotted = lambda path: path.replace(".", "\\.").replace(_SEP, ".")
 
     def members(kinds, parent):
-        return sorted(p for p in kinds if p.startswith(parent) and "." not in p[len(parent) :])
+        return sorted(p for p in kinds if p.startswith(parent) and _SEP not in p[len(parent) :])
 
     def kind(kinds):
         return "decimal number" if kinds == {"whole number", "decimal number"} else "/".join(sorted(kinds))
@@ -249,22 +298,37 @@ def compare(before: list[tuple[object, dict]], after: list[tuple[object, dict]])
                 gone.remove(a)
                 new.remove(b)
                 pairs.append((a, b))
-                out.append((a, "renamed"))
-        out.extend((a, "removed") for a in gone)
-        out.extend((b, "added") for b in new)
+                out.append((shown(a), "renamed", dotted(b)))
+        out.extend((shown(a), "removed", None) for a in gone)
+        out.extend((shown(b), "added", None) for b in new)
         for a, b in pairs:
             k1, k2 = kind(kinds1[a]), kind(kinds2[b])
             if k1 and k2 and k1 != k2:
-                out.append((a, "type_changed"))
+                out.append((shown(a), "type_changed", None))
+            if a != b:
+                out.append((dotted(a), "moved", dotted(b)))
+            inner1, inner2 = members(kinds1, a + _SEP), members(kinds2, b + _SEP)
+            if len(inner1) + len(inner2) == 1:
+                out.append((dotted([*inner1, a][0]), "moved", dotted([*inner2, b][0])))
             if "object" in kinds1[a] and "object" in kinds2[b]:
-                level(a + ".", b + ".")
+                level(a + _SEP, b + _SEP)
 
     level("", "")
-    return sorted(set(out))
+    return sorted(set(out), key=lambda x: (x[0], x[1], x[2] or ""))
 
 
 def changes(records: DataFrame, key: str = "error_id") -> DataFrame:
-    """``file_id, field, change`` of each file against the readable one before it in its series.
+    """``file_id, field, change`` of each file against the readable one before it in its series."""
+    return comparisons(records, key).where("change <> 'moved'").select("file_id", "field", "change").distinct()
+
+
+def drift_links(found: DataFrame) -> DataFrame:
+    """``field, new_field``: the paths that comparisons found to hold the same facts."""
+    return found.where("change = 'moved'").select("field", "new_field")
+
+
+def comparisons(records: DataFrame, key: str = "error_id") -> DataFrame:
+    """``file_id, field, change, new_field`` between neighbours of a series; ``moved`` is no change but a link of two paths.
 
     Files of a series are put in order at day level first, so that no task sees a whole series; each comparison gets the
     records of two files.
@@ -282,7 +346,7 @@ def changes(records: DataFrame, key: str = "error_id") -> DataFrame:
         for late, k, seen in zip(pdf["late"], pdf["record_key"], pdf["observed"]):
             sides[late].append((None if pd.isna(k) else int(k), json.loads(seen)))
         found = compare(*sides)
-        text = {"field": pd.Series([f for f, _ in found], dtype="object"), "change": pd.Series([c for _, c in found], dtype="object")}
+        text = {name: pd.Series([x[i] for x in found], dtype="object") for i, name in enumerate(("field", "change", "new_field"))}
         return pd.DataFrame({"file_id": pd.Series([int(pdf["pair"].iloc[0])] * len(found), dtype="int64"), **text})
 
-    return later.unionByName(earlier).groupBy("pair").applyInPandas(run, "file_id long, field string, change string")
+    return later.unionByName(earlier).groupBy("pair").applyInPandas(run, "file_id long, field string, change string, new_field string")

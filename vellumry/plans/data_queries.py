@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumry.operators import compact, drift, orphans, shred
-from vellumry.scale import table
+from vellumry.scale import materialise, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consistent table of all records, approved fields replayed."""
-    return drift.promote(drift.ingest(table(spark, sf_dir, "error_files"))).drop("observed")
+    """The consistent table of all records; what is replayed follows from the renames found."""
+    records = materialise(drift.ingest(table(spark, sf_dir, "error_files")), "records")
+    approved = drift.approvals(drift.drift_links(drift.comparisons(records)))
+    return drift.promote(records, approved).drop("observed")
+
+
+def p1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.statuses(table(spark, sf_dir, "error_files"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +62,7 @@ def p6_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, **{f"p2_{n}": _p2(n) for n in ("pages", "words", "lines", "spans", "points")},
+        "p1_found": p1_found, "p1_records": p1_records, "p1_files": p1_files, "p2_found": p2_found, **{f"p2_{n}": _p2(n) for n in ("pages", "words", "lines", "spans", "points")},
         "p3_found": p3_found, "p3_bins": p3_bins, "p6_found": p6_found, "p6_counts": p6_counts, "p6_open": p6_open,
     }
 
