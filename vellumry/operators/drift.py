@@ -47,6 +47,7 @@ _SEP = "\x1e"
 #: Names of types as reported.
 KINDS = {str: "text", bool: "true/false", int: "whole number", float: "decimal number", list: "list", dict: "object"}
 RENAME_SHARE = 0.9
+_PARTS = re.compile(r"[\s;,|]+")
 
 
 def parse_records(body: str | None) -> list[dict] | None:
@@ -92,8 +93,11 @@ def facts(value) -> str | None:
     """What a value says, whatever its type: its words in order of value, numbers in one form. Null says nothing."""
     words = []
     for leaf in leaves(value):
-        for w in re.split(r"[\s;,|]+", leaf):
+        for w in _PARTS.split(leaf):
             if w:
+                if not (w[0].isdigit() or w[0] in "+-."):
+                    words.append(w)
+                    continue
                 try:
                     n = float(w)
                     w = str(int(n)) if n == int(n) else repr(n)
@@ -281,10 +285,18 @@ def compare(before: list[tuple[object, dict]], after: list[tuple[object, dict]])
     def kind(kinds):
         return "decimal number" if kinds == {"whole number", "decimal number"} else "/".join(sorted(kinds))
 
+    columns: dict[tuple[int, str], list] = {}
+
+    def column(side, path):
+        """The facts under a path of one file, a value for each shared record."""
+        if (side, path) not in columns:
+            seen = facts2 if side else facts1
+            columns[side, path] = [seen[k][path][1] if path in seen[k] else None for k in shared]
+        return columns[side, path]
+
     def score(a, b):
-        both = [(facts1[k][a][1], facts2[k][b][1]) for k in shared if a in facts1[k] and b in facts2[k]]
-        both = [(x, y) for x, y in both if x is not None and y is not None]
-        same = sum(x == y for x, y in both)
+        both = [x == y for x, y in zip(column(0, a), column(1, b)) if x is not None and y is not None]
+        same = sum(both)
         return (same / len(both), same) if both else (0.0, 0)
 
     def level(parent1, parent2):
