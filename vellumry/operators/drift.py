@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -353,12 +354,16 @@ def comparisons(records: DataFrame, key: str = "error_id") -> DataFrame:
     later = narrow.join(pairs, "file_id").select(F.col("file_id").alias("pair"), F.lit(1).alias("late"), F.col(key).alias("record_key"), "observed")
     earlier = narrow.join(pairs.withColumnsRenamed({"file_id": "pair", "prev_file_id": "file_id"}), "file_id").select("pair", F.lit(0).alias("late"), F.col(key).alias("record_key"), "observed")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sides: tuple[list, list] = ([], [])
-        for late, k, seen in zip(pdf["late"], pdf["record_key"], pdf["observed"]):
-            sides[late].append((None if pd.isna(k) else int(k), json.loads(seen)))
-        found = compare(*sides)
-        text = {name: pd.Series([x[i] for x in found], dtype="object") for i, name in enumerate(("field", "change", "new_field"))}
-        return pd.DataFrame({"file_id": pd.Series([int(pdf["pair"].iloc[0])] * len(found), dtype="int64"), **text})
+    pairs_of = later.unionByName(earlier).groupBy("pair").agg(*[F.collect_list(F.when(F.col("late") == side, F.struct("record_key", "observed"))).alias(name) for side, name in enumerate(("before", "after"))])
 
-    return later.unionByName(earlier).groupBy("pair").applyInPandas(run, "file_id long, field string, change string, new_field string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs_, before, after = (c.to_pylist() for c in batch.columns)
+            rows = []
+            for pair, one, two in zip(pairs_, before, after):
+                sides = [[(r["record_key"], json.loads(r["observed"])) for r in side] for side in (one, two)]
+                rows.extend((pair, *x) for x in compare(*sides))
+            columns = list(zip(*rows)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.string()) for c in columns[1:]]], ["file_id", "field", "change", "new_field"])
+
+    return pairs_of.mapInArrow(run, "file_id long, field string, change string, new_field string")
