@@ -3,10 +3,12 @@
 import json
 import math
 import os
+import zlib
 from datetime import datetime, timedelta
 from functools import reduce
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
@@ -15,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumry.functions import geometry as g
-from vellumry.functions import text
-from vellumry.operators import corrections, errors, labels, lines, orphans, pages, polygons
+from vellumry.functions import maps, text
+from vellumry.operators import corrections, errors, labels, lines, orphans, pages, polygons, raster
 from vellumry.plans import catalog
-from vellumry.sources import documents, ocr_json, sinks, versions
+from vellumry.sources import artifacts, documents, ocr_json, pdf, sinks, versions
 from vellumry.streaming import orphans as stream_orphans
 from vellumry.streaming import polygons as stream_polygons
 
@@ -218,3 +220,116 @@ def test_polygons_from_a_stream(spark, tmp_path):
     got = {r["page"]: (r["polygon"][0]["x"], len(r["polygon"])) for r in sinks.read_table(spark, at).collect()}
     assert got == {1: (20.0, 1), 2: (10.0, 1), 3: (172.0, len(g.DEFAULT_POLYGON))}
     assert polygons.PATCH_FROM == 61
+
+
+def test_polygons_fill_their_outline_too():
+    box = raster.fill([np.array([(1, 2), (5, 2), (5, 6), (1, 6)], dtype=float)], 8, 8)
+    assert box.sum() == 25 and box[2:7, 1:6].all()
+    both = raster.fill([np.array([(1, 2), (5, 2), (5, 6), (1, 6)]) * 1.0, np.array([(0, 0), (1, 0), (0, 1)]) * 1.0, np.array([(7, 7), (0, 7)]) * 1.0, np.array([(-5, 7), (20, 7), (20, 7)]) * 1.0], 8, 8)
+    assert both.sum() == 25 + 3 + 8
+
+
+@pytest.mark.parametrize("angle", [-12.0, -4.0, 3.0, 9.0])
+def test_a_turned_page_is_found_and_turned_back(angle):
+    page = np.zeros((240, 200))
+    page[60:180, 40:160:6] = 255
+    page[60, 40:160] = page[179, 40:160] = 255
+    turned = raster.rotate(page, angle)
+    n, seen = raster.skew_angle(np.where(turned > 127, 255, 0))
+    # rows stand for x, as in the rule that is applied to it
+    assert n > raster.SPARSE and min(abs(seen % 90 - t % 90) for t in (angle, angle + 90, angle - 90)) < 1.0
+    back, decision, turn = raster.deskewed(np.where(turned > 127, 255, 0))
+    assert decision == "rotate" and abs(abs(turn) - abs(angle)) < 1.0
+    assert raster.deskewed(np.zeros((9, 9)))[1] == "sparse" and raster.deskewed(page)[1] == "straight"
+    assert (raster.rotate(page, 0.0) == page).all()
+
+
+def test_images_as_bytes_and_as_lists(spark):
+    rnd = np.random.default_rng(1)
+    stack = rnd.integers(0, 256, (5, 6, 7))
+    colour = rnd.integers(0, 256, (5, 6, 7, 3))
+    as_list = spark.createDataFrame([(i, x.ravel().tolist()) for i, x in enumerate(stack)], "id long, image array<int>")
+    as_bytes = spark.createDataFrame([(i, x.astype(np.uint8).tobytes()) for i, x in enumerate(stack)], "id long, image binary")
+    for made in (raster.median3, raster.binarise):
+        assert {r["id"]: list(r["image"]) for r in made(as_list, "id", 7, 6).collect()} == {r["id"]: list(bytes(r["image"])) for r in made(as_bytes, "id", 7, 6).collect()}
+    df = spark.createDataFrame([(i, x.astype(np.uint8).tobytes()) for i, x in enumerate(colour)], "id long, image binary")
+    want = raster.thresholds(raster.contrasts(raster.medians(raster.grays(colour))))
+    assert all(list(bytes(r["image"])) == want[r["id"]].ravel().tolist() for r in raster.clean(df, "id", 7, 6, turn=True).collect())
+    assert {r["decision"] for r in raster.deskew(as_bytes, "id", 7, 6).collect()} == {"sparse"}
+    assert raster.median3(as_bytes.where("false"), "id", 7, 6).count() == 0
+
+
+def test_pages_become_documents(spark, tmp_path):
+    rows_ = [("a", p, bytes([p] * 12), 2, 2) for p in (10, 2, 1)] + [("b", 1, bytes(range(18)), 3, 2), ("b", 1, bytes(range(18)), 3, 2)]
+    images = spark.createDataFrame(rows_, "document string, page_number int, image binary, width int, height int")
+    pages_ = pdf.image_pages(images, ["document", "page_number"], 144.0)
+    root = f"file://{tmp_path}/merged"
+    got = {r["document"]: r["pages"] for r in pdf.merge_documents(pages_, root).collect()}
+    assert got == {"a": 3, "b": 1} and sorted(p.name for p in (tmp_path / "merged").iterdir()) == ["a.pdf", "b.pdf"]
+    content = (tmp_path / "merged/a.pdf").read_bytes()
+    assert documents.page_boxes(content) == [(1, 1.0, 1.0), (2, 1.0, 1.0), (3, 1.0, 1.0)]
+    shown = [zlib.decompress(s[7:-10]) for h, s in pdf.objects_of(content).values() if b"/Image" in h]
+    assert shown == [bytes([p] * 12) for p in (1, 2, 10)]
+    start = int(content.rsplit(b"startxref", 1)[1].split()[0])
+    assert content[start : start + 4] == b"xref"
+    for i, entry in enumerate(content[start:].split(b"\n")[3 : 3 + len(pdf.objects_of(content))], 1):
+        assert content[int(entry[:10]) :].startswith(b"%d 0 obj" % i)
+    again: list[bytes] = []
+    merger = pdf.Merger(again.append)
+    assert merger.add(content) == 3 and merger.add((tmp_path / "merged/b.pdf").read_bytes()) == 1 and merger.end() == 4
+    assert [w for _, w, _ in documents.page_boxes(b"".join(again))] == [1.0, 1.0, 1.0, 1.5]
+    with pytest.raises(Exception, match="no pages: c"):
+        pdf.require_pages(spark.createDataFrame([("c",)], "document string"), pages_).collect()
+    with pytest.raises(ValueError):
+        merger.add(b"%PDF-1.5 nothing")
+
+
+def test_page_sizes_in_compressed_streams():
+    inner = [b"<< /Type /Pages /Kids [2 0 R 3 0 R] /Count 2 /MediaBox [0 0 2550 3300] >>", b"<< /Type /Page /Parent 1 0 R /MediaBox [0 0 612 792] >>", b"<< /Type /Page /Parent 1 0 R >>"]
+    at, heads = 0, b""
+    for i, x in enumerate(inner, 1):
+        heads, at = heads + b"%d %d " % (i, at), at + len(x) + 1
+    data = zlib.compress(heads + b"\n".join(inner))
+    content = b"%%PDF-1.5\n9 0 obj\n<< /Type /ObjStm /N 3 /First %d /Filter /FlateDecode /Length %d >>\nstream\n%s\nendstream\nendobj\n" % (len(heads), len(data), data)
+    assert documents.page_boxes(content) == [(1, 612.0, 792.0), (2, 2550.0, 3300.0)]
+
+
+def test_rendered_pages_are_numbered_from_the_first(spark):
+    chunks = spark.createDataFrame([("x.pdf", 3, 4), ("x.pdf", 1, 1)], "path string, first int, last int")
+    got = documents.render(chunks, lambda path, first, last, dpi: [f"{path} {n} {dpi}".encode() for n in range(first, last + 1)], 150)
+    assert sorted((r["page_number"], bytes(r["image"])) for r in got.collect()) == [(1, b"x.pdf 1 150"), (3, b"x.pdf 3 150"), (4, b"x.pdf 4 150")]
+
+
+def test_crops_and_label_files(spark, tmp_path):
+    pixels = np.random.default_rng(2).integers(0, 256, (60, 90, 3)).astype(np.uint8)
+    images = spark.createDataFrame([("d", 1, pixels.tobytes(), 90, 60)], "source_document string, page_number long, image binary, width int, height int")
+    box = [0.1, 0.1, 0.15, 0.12, 0.1, 0.1, 9.0, 9.0]
+    errors_ = spark.createDataFrame([(7, "d", 1, *box), (8, "e", 1, *box)], "error_id long, source_document string, page_number long, ctx_x0 double, ctx_y0 double, ctx_x1 double, ctx_y1 double, err_x0 double, err_y0 double, err_x1 double, err_y1 double")
+    crops = {r["path"]: bytes(r["body"]) for r in artifacts.error_crops(errors_, images).collect()}
+    assert set(crops) == {"images/error_7/context.png", "images/error_7/error.png"} and all(b.startswith(b"\x89PNG") for b in crops.values())
+    point = "array<struct<x:double,y:double>>"
+    square = [(1.0, 1.0), (9.0, 1.0), (9.0, 9.0), (1.0, 9.0)]
+    rows_ = spark.createDataFrame([("d", 1, "doc_1", maps.INFO_TYPES[0], 0, square), ("d", 1, "doc_2", maps.INFO_TYPES[0], 0, square[:2])], f"document string, page_number long, doc_key string, info_type string, poly_idx int, polygon {point}")
+    made = artifacts.label_artifacts(images.withColumnRenamed("source_document", "document"), rows_, 150.0)
+    got = {r["path"]: bytes(r["body"]) for r in made.collect()}
+    assert set(got) == {f"d/page_001/doc_1/{t}.pdf" for t in [*maps.INFO_TYPES, "unified"]} | {"d/page_001/doc_1/labels.json"}
+    shown = lambda name: next(zlib.decompress(s[7:-10]) for h, s in pdf.objects_of(got[f"d/page_001/doc_1/{name}.pdf"]).values() if b"/Image" in h)
+    unified = np.frombuffer(shown("unified"), dtype=np.uint8).reshape(60, 90, 3)
+    assert (unified[1:10, 1:10] == pixels[1:10, 1:10]).all() and (unified[10:] == 255).all() and set(shown(maps.INFO_TYPES[1])) == {255}
+    assert json.loads(got["d/page_001/doc_1/labels.json"])["polygon_counts"][maps.INFO_TYPES[0]] == 1
+    assert artifacts.label_artifacts(images.withColumnRenamed("source_document", "document").where("false"), rows_, 150.0).count() == 0
+
+
+def test_missing_records(spark):
+    pages_ = spark.createDataFrame([("d", 1), ("d", 2)], "document string, page_number int")
+    have, lack = labels.present(pages_, pages_.where("page_number = 1"), ["document", "page_number"])
+    assert [r["page_number"] for r in have.collect()] == [1] and [r["page_number"] for r in lack.collect()] == [2]
+    got = polygons.load(pages_, pages_.where("page_number = 1").withColumn("polygon", F.lit("p")), ["document", "page_number"])
+    assert {(r["page_number"], r["polygon"], r["failure"]) for r in got.collect()} == {(1, "p", None), (2, None, "no polygon record")}
+
+
+@pytest.mark.parametrize("points, inches, pixels", [((2550.0, 3300.0), (35.4167, 45.8333), (5312, 6875)), ((2535.0, 3278.0), (35.2083, 45.5278), (5281, 6829))])
+def test_golden_page_sizes(spark, points, inches, pixels):
+    row = spark.range(1).select(g.points_to_pixels(F.lit(points[0]), 150).alias("w"), g.points_to_pixels(F.lit(points[1]), 150).alias("h")).first()
+    assert (row["w"], row["h"]) == pixels
+    assert tuple(round(p / 72, 4) for p in points) == inches

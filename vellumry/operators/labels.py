@@ -24,6 +24,17 @@ def seed(pages: DataFrame, existing: DataFrame, polygons: DataFrame, sizes: Data
     return new.select(*by, "page_width", "page_height", F.lit(1).alias("num_documents"), F.create_map(F.lit("doc_1"), record).alias("documents"))
 
 
+def created(pages: DataFrame, existing: DataFrame, by: list[str], document: str) -> DataFrame:
+    """``document, created, skipped``: how many label pages ``seed`` makes for each document and how many it leaves alone."""
+    known = existing.select(*by).distinct().withColumn("_has", F.lit(True))
+    return pages.join(known, by, "left").groupBy(document).agg(F.count_if(F.col("_has").isNull()).alias("created"), F.count("_has").alias("skipped"))
+
+
+def present(pages: DataFrame, records: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Label records of the pages asked for, and the pages that have none (to be warned of and skipped)."""
+    return records.join(pages.select(*by).distinct(), by, "left_semi"), pages.join(records.select(*by).distinct(), by, "left_anti")
+
+
 def rows(pages: DataFrame, by: list[str]) -> DataFrame:
     """One row for each polygon of the documents ``doc_1`` to ``doc_n``; other documents aren't read."""
     key = F.explode(F.transform(F.sequence(F.lit(1), F.col("num_documents").cast("int")), lambda i: F.concat(F.lit("doc_"), i.cast("string")))).alias("doc_key")

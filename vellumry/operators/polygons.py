@@ -34,6 +34,15 @@ def upsert(pages: DataFrame, existing: DataFrame, by: list[str], overwrite: bool
     return done.unionByName(rest)
 
 
+def load(pages: DataFrame, records: DataFrame, by: list[str]) -> DataFrame:
+    """``pages`` with their record's columns, ``found`` and ``failure``: a page without a record fails, the others go on.
+
+    Sizes of pages are joined by the same rule; they are null where there is no record.
+    """
+    both = pages.join(records.withColumn("_has", F.lit(True)), by, "left")
+    return both.withColumns({"found": F.col("_has").isNotNull(), "failure": F.when(F.col("_has").isNull(), "no polygon record")}).drop("_has")
+
+
 def patch(records: DataFrame, page: str = "page_number", first: int = PATCH_FROM, polygon: list[tuple[int, int]] | None = None) -> DataFrame:
     points = F.array(*[g.point(F.lit(float(x)), F.lit(float(y))) for x, y in polygon or PATCH])
     return records.withColumn("polygon", F.when(F.col(page) >= first, points).otherwise(F.col("polygon")))

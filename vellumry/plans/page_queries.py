@@ -459,21 +459,47 @@ def img_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pixels(v.images(spark, sf_dir).select("image_id", raster.cropped(F.col("image"), 8, F.lit(1), F.lit(2), F.lit(5), F.lit(6)).alias("image")))
 
 
-@query("img_threshold")
+_KERNEL = "[" + ", ".join(f"{k!r}::DOUBLE" for k in raster.gaussian(raster.BLOCK).tolist()) + "]"
+_AT = "least(7, greatest(0, {0} + j - 15))"
+
+
+@query("img_threshold", _I + f""", p AS (SELECT image_id, image, unnest(range(64)) AS i FROM img),
+h AS (SELECT image_id, i, image[i + 1] AS v, list_sum(list_transform(range(31), lambda j: ({_KERNEL})[j + 1] * image[CAST(floor(i / 8) AS INT) * 8 + {_AT.format("i % 8")} + 1])) AS m FROM p),
+r AS (SELECT image_id, list(m ORDER BY i) AS m FROM h GROUP BY 1),
+s AS (SELECT h.image_id, i, v, list_sum(list_transform(range(31), lambda j: ({_KERNEL})[j + 1] * r.m[{_AT.format("CAST(floor(i / 8) AS INT)")} * 8 + i % 8 + 1])) AS mean FROM h JOIN r ON h.image_id = r.image_id)
+SELECT image_id, i, CASE WHEN v > round_even(mean, 0) - 10 THEN 255 ELSE 0 END AS v FROM s""")
 def img_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pixels(raster.binarise(v.images(spark, sf_dir), "image_id", 8, 8))
 
 
 @query("img_clean")
 def img_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pixels(raster.clean(v.images(spark, sf_dir), "image_id", 8, 8))
+    """The whole chain on colour images, deskew included."""
+    colour = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.array(*[F.get("image", (i + k) % 64) for k in range(3)])))
+    return _pixels(raster.clean(v.images(spark, sf_dir).select("image_id", colour.alias("image")), "image_id", 8, 8, turn=True))
 
 
 @query("mask_composite", _I + """, p AS (SELECT image_id, image, unnest(range(64)) AS i FROM img)
-SELECT image_id, i, CASE WHEN i % 8 BETWEEN 1 AND 5 AND floor(i / 8) BETWEEN 2 AND 6 THEN image[i + 1] ELSE 255 END AS v FROM p""")
+SELECT image_id, i, CASE WHEN (i % 8 BETWEEN 1 AND 5 AND floor(i / 8) BETWEEN 2 AND 6) OR (i % 8 >= 6 AND floor(i / 8) <= 1) THEN image[i + 1] ELSE 255 END AS v FROM p""")
 def mask_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    box = F.array(*[F.lit(x) for x in (0.5, 1.5, 5.5, 1.5, 5.5, 6.5, 0.5, 6.5)])
-    return _pixels(raster.mask(v.images(spark, sf_dir).withColumn("polygon", box), "image_id", 8, 8))
+    boxes = [(1.9, 2.0, 5.0, 2.5, 5.9, 6.0, 1.0, 6.0), (6.0, 0.0, 7.0, 0.0, 7.0, 1.0, 6.0, 1.0), (0.0, 0.0, 3.0, 3.0)]
+    polygons = F.array(*[F.array(*map(F.lit, b)) for b in boxes])
+    return _pixels(raster.mask(v.images(spark, sf_dir).withColumn("polygons", polygons), "image_id", 8, 8))
+
+
+@query("label_created", """WITH p AS (SELECT doc_id % 20 AS document, doc_id, doc_id % 3 = 0 AS has FROM documents)
+SELECT document, count(*) FILTER (WHERE NOT has) AS created, count(*) FILTER (WHERE has) AS skipped FROM p GROUP BY 1""")
+def label_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label pages made and left alone, for each document."""
+    p = table(spark, sf_dir, "documents").select((F.col("doc_id") % 20).alias("document"), "doc_id")
+    return labels.created(p, p.where("doc_id % 3 = 0"), ["doc_id"], "document")
+
+
+@query("polygon_load", """SELECT doc_id, doc_id % 3 <> 0 AS found, CASE WHEN doc_id % 3 = 0 THEN 'no polygon record' END AS failure FROM documents""")
+def polygon_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with their polygon record; one without a record fails alone."""
+    p = v.polygons(spark, sf_dir)
+    return polygons.load(p.select("doc_id"), p.where("doc_id % 3 <> 0"), ["doc_id"]).select("doc_id", "found", "failure")
 
 
 @query("deskew_decision", "WITH d AS (SELECT doc_id, (doc_id * 131) % 3000 AS n, CAST((doc_id * 7) % 900 AS DOUBLE) / 10 - 90 AS a FROM documents), t AS (SELECT *, CASE WHEN a < -45 THEN -(a + 90) ELSE -a END AS angle FROM d) SELECT doc_id, CASE WHEN n < 1000 THEN 'sparse' WHEN abs(angle) > 15 THEN 'too_steep' WHEN abs(angle) < 1 THEN 'straight' ELSE 'rotate' END AS decision, angle FROM t")
