@@ -316,7 +316,8 @@ def test_crops_and_label_files(spark, tmp_path):
     shown = lambda name: next(zlib.decompress(s[7:-10]) for h, s in pdf.objects_of(got[f"d/page_001/doc_1/{name}.pdf"]).values() if b"/Image" in h)
     unified = np.frombuffer(shown("unified"), dtype=np.uint8).reshape(60, 90, 3)
     assert (unified[1:10, 1:10] == pixels[1:10, 1:10]).all() and (unified[10:] == 255).all() and set(shown(maps.INFO_TYPES[1])) == {255}
-    assert json.loads(got["d/page_001/doc_1/labels.json"])["polygon_counts"][maps.INFO_TYPES[0]] == 1
+    body = json.loads(got["d/page_001/doc_1/labels.json"])
+    assert list(body) == ["page_number", "doc_key", "polygons"] and {t: len(p) for t, p in body["polygons"].items()} == {t: int(t == maps.INFO_TYPES[0]) for t in maps.INFO_TYPES}
     assert artifacts.label_artifacts(images.withColumnRenamed("source_document", "document").where("false"), rows_, 150.0).count() == 0
 
 
@@ -333,3 +334,34 @@ def test_golden_page_sizes(spark, points, inches, pixels):
     row = spark.range(1).select(g.points_to_pixels(F.lit(points[0]), 150).alias("w"), g.points_to_pixels(F.lit(points[1]), 150).alias("h")).first()
     assert (row["w"], row["h"]) == pixels
     assert tuple(round(p / 72, 4) for p in points) == inches
+
+
+def test_insert_only_and_document_bodies(spark, tmp_path):
+    at = f"file://{tmp_path}/labels"
+    make = lambda *rows_: spark.createDataFrame(list(rows_), "document string, page_number int, label string")
+    assert sinks.insert_only(make(("d", 1, "a"), ("d", 2, "a")), at, ["document", "page_number"]) == 2
+    assert sinks.insert_only(make(("d", 2, "b"), ("d", 3, "b")), at, ["document", "page_number"]) == 1
+    assert sorted(tuple(r) for r in sinks.read_table(spark, at).collect()) == [("d", 1, "a"), ("d", 2, "a"), ("d", 3, "b")]
+    got = sinks.document_bodies(spark.createDataFrame([("x.pdf", "{}", None), ("y.pdf", None, "bad")], "name string, body string, error string"))
+    assert [tuple(r) for r in got.collect()] == [("x.pdf.json", "{}")]
+
+
+def test_the_only_document(spark):
+    files = spark.createDataFrame([("a.pdf",), ("b.txt",)], "name string")
+    assert pages.only_document(files).first()["name"] == "a.pdf"
+    with pytest.raises(Exception, match="exactly one document"):
+        pages.only_document(files.unionByName(spark.createDataFrame([("c.PDF",)], "name string"))).collect()
+
+
+def test_lines_of_pages(spark):
+    page = "struct<pageNumber:bigint,words:array<struct<content:string>>,lines:array<struct<content:string,polygon:array<double>,spans:array<struct<offset:bigint,length:bigint>>>>>"
+    df = spark.createDataFrame([("d", (1, [], [("l", [0.0], [(0, 1)]), ("m", None, None)]))], f"document string, page {page}")
+    assert [(r["line_index"], r["content"]) for r in ocr_json.lines_of(df, ["document"]).orderBy("line_index").collect()] == [(0, "l"), (1, "m")]
+
+
+def test_canvas_and_page_are_inverse_and_boxes_unite(spark):
+    fit = F.struct(F.lit(0.25).alias("scale"), F.lit(10.0).alias("offset_x"), F.lit(4.0).alias("offset_y"))
+    poly = F.array(g.point(F.lit(8.0), F.lit(20.0)), g.point(F.lit(-4.0), F.lit(0.5)))
+    box = lambda *v: F.struct(*[F.lit(x).alias(n) for n, x in zip(("x0", "y0", "x1", "y1"), v)])
+    row = spark.range(1).select(g.to_page(g.to_canvas(poly, fit), fit).alias("p"), g.bbox_union(box(1.0, 5.0, 2.0, 6.0), box(0.0, 7.0, 1.5, 9.0)).alias("b")).first()
+    assert [tuple(q) for q in row["p"]] == [(8.0, 20.0), (-4.0, 0.5)] and tuple(row["b"]) == (0.0, 5.0, 2.0, 9.0)

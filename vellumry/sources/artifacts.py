@@ -64,8 +64,9 @@ def label_artifacts(images: DataFrame, label_rows: DataFrame, dpi: float) -> Dat
                     held = raster.fill(parts, int(width), int(height))
                     shown = np.where(held[:, :, None], pixels, 255).astype(np.uint8)
                     rows.append((f"{at}/{name}.pdf", pdf.image_page(shown.tobytes(), int(width), int(height), dpi)))
-                counts = {t: len(polygons.get(t, [])) for t in names}
-                rows.append((f"{at}/labels.json", json.dumps({"page_number": int(page), "doc_key": key, "polygon_counts": counts, "polygons": json.loads(text)}).encode()))
+                held_ = json.loads(text)
+                body = {"page_number": int(page), "doc_key": key, "polygons": {t: held_.get(t, []) for t in names}}
+                rows.append((f"{at}/labels.json", json.dumps(body).encode()))
             yield pd.DataFrame(rows, columns=["path", "body"], dtype="object")
 
     return narrow.mapInPandas(run, "path string, body binary")

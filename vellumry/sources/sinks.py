@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumry.functions.text import page_file
+from vellumry.scale import materialise
 from vellumry.sources import versions
 
 
@@ -88,6 +89,22 @@ def page_bodies(records: DataFrame, document: str = "document", page: str = "pag
     return records.select(F.concat(F.col(document), F.lit("/"), page_file(F.col(page))).alias("path"), body.alias("body"))
 
 
+def document_bodies(recognised: DataFrame) -> DataFrame:
+    """``path, body`` of what the OCR service gave: ``<name>.json``; documents whose call failed have none."""
+    return recognised.where("body is not null").select(F.concat("name", F.lit(".json")).alias("path"), "body")
+
+
+def insert_only(df: DataFrame, path: str, by: list[str]) -> int:
+    """Add the rows of ``df`` whose key the table at ``path`` doesn't hold yet; the others stay as they are. How many were added."""
+    held = versions.read(df.sparkSession, path, "table")
+    new = df.dropDuplicates(by)
+    new = materialise(new if held is None else new.join(held.select(*by).distinct(), by, "left_anti").select(*df.columns), "new")
+    added = new.count()
+    if added or held is None:
+        replace_table(new if held is None else held.select(*df.columns).unionByName(new), path)
+    return added
+
+
 def replace_table(df: DataFrame, path: str) -> str:
     """Overwrite the table at ``path`` safely though ``df`` may read it: a new version counts once it is complete."""
     versions.commit(df.sparkSession, path, {"table": df})
