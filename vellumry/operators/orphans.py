@@ -101,13 +101,14 @@ def references_of(references: DataFrame, ref_id: str = "correction_id", at: str
 def judge(refs: DataFrame, parents: DataFrame) -> DataFrame:
     """``refs`` with ``reason``, null where a parent stands."""
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in LEVELS])
-    asked = refs.where(whole).groupBy(*LEVELS, "at").agg(F.count("*").alias("n"))
+    # three short plans rather than one long one: what the driver keeps of a plan grows with its square
+    asked = materialise(refs.where(whole).groupBy(*LEVELS, "at").agg(F.count("*").alias("n")), "asked")
     places = asked.select(*LEVELS).distinct()
-    placed = deepest_level(places, parents)
+    placed = materialise(deepest_level(places, parents), "placed")
     here = parents.dropna(subset=LEVELS).join(places, LEVELS, "left_semi")
     states = advance(location_events(asked, here)).where("refs > 0")
     reason = F.when(F.col("missing").isNotNull(), F.col("missing")).when(F.col("exported_now") == 0, "late").when(F.col("standing_now") == 0, "withdrawn")
-    verdict = states.join(placed, LEVELS).select(*LEVELS, "at", reason.alias("reason")).where("reason is not null")
+    verdict = materialise(states.join(placed, LEVELS).select(*LEVELS, "at", reason.alias("reason")).where("reason is not null"), "verdict")
     given = refs.drop("reason").join(verdict, [*LEVELS, "at"], "left")
     return given.select(*LEVELS, "_id", "_given", "at", F.when(~whole, "incomplete").otherwise(F.col("reason")).alias("reason"))
 
