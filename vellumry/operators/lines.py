@@ -25,7 +25,7 @@ def page_words(words: DataFrame) -> DataFrame:
     whole = words.where(" and ".join(f"{c} is not null" for c in [*KEY, "x0", "y0", "x1", "y1"]))
     age = -F.unix_micros(F.col("ingested_at").cast("timestamp")) if "ingested_at" in words.columns else F.lit(0).cast("long")
     word = F.struct("line_number", "word_number", F.coalesce(age, F.lit((1 << 63) - 1)).alias("_age"), *REST)
-    pages = whole.groupBy(*PAGE).agg(F.sort_array(F.collect_set(word)).alias("all"))
+    pages = whole.groupBy(*PAGE).agg(F.sort_array(F.collect_list(word)).alias("all"))
     place = lambda w: F.struct(w["line_number"], w["word_number"])
     first = lambda w, i: (i == 0) | (place(F.get("all", i - 1)) != place(w))
     return pages.select(*PAGE, F.transform(F.filter("all", first), lambda w: w.dropFields("_age")).alias("at"))

@@ -14,7 +14,7 @@ MODULES = [word_queries, page_queries, data_queries]
 #: Queries whose whole numbers are given as bigint, as SQL gives them.
 LONG = {
     "flag_low_confidence", "flag_hyphenated", "flag_small_token", "flag_hotword", "flag_patterns", "lines", "line_context", "apply_corrections",
-    "target_pages", "page_scope_swap", "page_scope_collapse", "pages_to_process", "page_chunks", "page_plan", "label_rows",
+    "target_pages", "page_scope_swap", "page_scope_collapse", "pages_to_process", "page_chunks", "page_plan", "label_rows", "label_hit",
 }
 
 

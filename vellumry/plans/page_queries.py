@@ -419,7 +419,21 @@ def label_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(*_BY, "doc_key", "info_type", F.size(labels.without_polygon(F.col("p"), F.lit(0))).cast("long").alias("after_delete"), F.size(added).cast("long").alias("after_close"))
 
 
-@query("label_hit")
+_HIT = _DECLARED + """, k AS (SELECT doc_id, doc_idx, min(info_type) AS cur, arg_min(polygon, {'t': info_type, 'p': poly_idx}) AS p FROM dec WHERE len(polygon) >= 3 GROUP BY 1, 2),
+c AS (SELECT doc_id, doc_idx, cur, list_sum(list_transform(p, lambda q: q.x)) / len(p) AS x, list_sum(list_transform(p, lambda q: q.y)) / len(p) AS y, CASE WHEN doc_id % 2 = 0 THEN 0 END AS selected FROM k),
+b AS (SELECT c.*, info_type, type_idx, poly_idx, len(polygon) AS n, info_type = cur AS mine, coalesce(info_type = cur AND poly_idx = selected, false) AS chosen,
+ list_position(list_transform(polygon, lambda q: abs(q.x - x) <= 14 AND abs(q.y - y) <= 14), true) AS pos,
+ len(list_filter(range(1, len(polygon) + 1), lambda i: ((polygon[CASE WHEN i = 1 THEN len(polygon) ELSE i - 1 END].y > y) <> (polygon[i].y > y))
+  AND x < (polygon[i].x - polygon[CASE WHEN i = 1 THEN len(polygon) ELSE i - 1 END].x) * (y - polygon[CASE WHEN i = 1 THEN len(polygon) ELSE i - 1 END].y)
+   / (polygon[i].y - polygon[CASE WHEN i = 1 THEN len(polygon) ELSE i - 1 END].y + 1e-9::DOUBLE) + polygon[CASE WHEN i = 1 THEN len(polygon) ELSE i - 1 END].x)) % 2 = 1 AS inside
+ FROM c JOIN dec USING (doc_id, doc_idx)),
+r AS (SELECT *, CASE WHEN chosen AND pos > 0 THEN 1 WHEN chosen AND inside THEN 2 WHEN mine AND inside AND n >= 3 THEN 3 WHEN inside AND n >= 3 THEN 4 END AS "rank" FROM b),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, doc_idx ORDER BY "rank", type_idx, poly_idx) AS k FROM r WHERE "rank" IS NOT NULL)
+SELECT c.doc_id, 'doc_' || c.doc_idx AS doc_key, c.x, c.y, CAST("rank" AS BIGINT) AS "rank", info_type, poly_idx, CAST(CASE WHEN "rank" = 1 THEN pos - 1 END AS BIGINT) AS corner
+ FROM c LEFT JOIN best ON c.doc_id = best.doc_id AND c.doc_idx = best.doc_idx AND best.k = 1"""
+
+
+@query("label_hit", _HIT)
 def label_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _label_rows(spark, sf_dir)
     first = rows.where(F.size("polygon") >= 3).groupBy("doc_id", "doc_key").agg(F.min_by("polygon", F.struct("info_type", "poly_idx")).alias("p"), F.min("info_type").alias("info_type"))
