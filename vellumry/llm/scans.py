@@ -54,7 +54,7 @@ def page_rows(words: DataFrame) -> DataFrame:
     unsure = (have("confidence") < UNSURE).alias("unsure")
     word = F.struct("word_number", F.coalesce(age, F.lit((1 << 63) - 1)).alias("age"), "content", unsure, *[have(c) for c in ("x0", "y0", "x1", "y1")])
     use = words.where(" and ".join(f"{c} is not null" for c in PLACE) + " and trim(content) <> ''")
-    lines = use.repartition(*PAGE).groupBy(*PAGE, "line_number").agg(F.sort_array(F.collect_set(word)).alias("all"))
+    lines = use.repartition(*PAGE).groupBy(*PAGE, "line_number").agg(F.sort_array(F.collect_list(word)).alias("all"))
     first = lambda x, i: (i == 0) | (F.get("all", i - 1)["word_number"] != x["word_number"])
     lines = lines.select(*PAGE, "line_number", F.filter("all", first).alias("w"))
     told = F.filter("w.unsure", lambda u: u.isNotNull())
