@@ -66,7 +66,7 @@ def page_rows(words: DataFrame) -> DataFrame:
     }
     shown = F.transform("w", lambda x: F.struct(x["word_number"].alias("word_number"), x["content"].alias("content"), x["unsure"].alias("unsure")))
     line = F.struct("line_number", shown.alias("words"), F.array_join("w.content", " ").alias("text"), *[v.cast("double").alias(k) for k, v in numbers.items()])
-    return lines.groupBy(*PAGE).agg(F.array_sort(F.collect_list(line), lambda a, b: F.when(a["line_number"] < b["line_number"], -1).when(a["line_number"] > b["line_number"], 1).otherwise(0)).alias("lines"))
+    return lines.groupBy(*PAGE).agg(F.sort_array(F.collect_list(line)).alias("lines"))
 
 
 def label(words: DataFrame) -> DataFrame:
