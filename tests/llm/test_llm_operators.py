@@ -286,13 +286,13 @@ def test_scans_of_nothing(spark):
 
 @pytest.mark.parametrize("times", [1, 10])
 def test_misreadings_are_found_at_every_size(spark, times):
-    right = {"with": 2454, "visitor": 600, "water": 900, "doctor": 500, "horse": 400, "morning": 500, "that": 2000, "for": 3291, "far": 138}
-    wrong = {"wifh": 20, "visifor": 3, "wafer": 5, "docfor": 3, "harse": 2, "marning": 2, "dactor": 2, "w|th": 100}
+    right = {"with": 2454, "visitor": 600, "water": 900, "doctor": 500, "horse": 400, "morning": 500, "that": 2000, "for": 3291, "far": 138, "both": 900, "14th": 40, "12r": 9, "3,100": 5}
+    wrong = {"wifh": 20, "visifor": 3, "wafer": 5, "docfor": 3, "harse": 2, "marning": 2, "dactor": 2, "w|th": 100, "B0th": 15}
     counts = spark.createDataFrame([(w, n * times) for w, n in (right | wrong).items()], "core string, n int")
     each = counts.selectExpr("core", "explode(sequence(1, n)) AS i").selectExpr("core AS source_document", "cast(i AS long) AS page_number", "1L AS line_number", "1L AS word_number", "core AS content", "core", "'mid' AS place", "false AS unsure")
     broken = spark.createDataFrame([], "source_document string, page_number long, line_number long, word_number long, next_page long, next_line long, next_word_number long")
     got = {r["core"]: r["word"] for r in scans.misread_types(each, scans.lexicon_of(each), broken).collect()}
-    assert got == {"wifh": "with", "visifor": "visitor", "wafer": "water", "docfor": "doctor", "harse": "horse", "marning": "morning", "dactor": "doctor", "w|th": "with"}
+    assert got == {"wifh": "with", "visifor": "visitor", "wafer": "water", "docfor": "doctor", "harse": "horse", "marning": "morning", "dactor": "doctor", "w|th": "with", "B0th": "both"}
 
 
 def codes(page):

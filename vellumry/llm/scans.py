@@ -157,7 +157,7 @@ def misread_types(tokens: DataFrame, lexicon: DataFrame, broken: DataFrame) -> D
     whole = tokens.where("core <> ''").where(~cut).join(parts_of(broken), PLACE, "left_anti")
     types = materialise(whole.groupBy("core").agg(F.count("*").alias("n"), F.count_if("unsure").alias("unsure")), "cores")
     # within the word: letters before and after, or a digit or mark that no word is written with
-    odd = F.col("core").rlike(r"\p{L}") & (F.col("core").rlike(r"[|†@!`ſ~^<>#$%*]") | (F.col("core").rlike(r"\d") & ~F.col("core").rlike(r"^[\dlOSBIZo,.]+(st|nd|rd|th|s|r|v)?$")))
+    odd = F.col("core").rlike(r"\p{L}") & (F.col("core").rlike(r"[|†@!`ſ~^<>#$%*]") | (F.col("core").rlike(r"\d") & ~F.col("core").rlike(r"^\d[\d,.]*(st|nd|rd|th|s|r|v)?$")))
     inner = F.col("core").rlike(r"\p{Ll}\p{Lu}") | F.col("core").rlike(r"^\p{Lu}{2,}\p{Ll}")
     hyphen = F.regexp_replace("core", r"-\p{Lu}", "-")
     cased = inner & hyphen.rlike(r"\p{Ll}\p{Lu}|^\p{Lu}{2,}\p{Ll}")
