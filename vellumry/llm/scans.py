@@ -180,7 +180,9 @@ def misread_types(tokens: DataFrame, lexicon: DataFrame, broken: DataFrame) -> D
     seen = pairs.groupBy("part", "w_part").agg(F.countDistinct("word").alias("words"))
     stray = F.col("part").rlike(r"^[^\p{L}\p{N}-]+$") & (F.col("w_part") == "")
     fine = pairs.join(seen, ["part", "w_part"]).where(F.col("odd") | stray | (F.col("words") >= CONFUSION_WORDS) | (F.col("unsure") >= UNSURE_SHARE * F.col("n")))
-    best = fine.groupBy("low").agg(F.max_by("word", F.struct(F.col("words") * F.log1p("w_n"), "word")).alias("word"))
+    # of several right words the one whose confusion is common and small
+    likely = F.col("words") * F.log1p("w_n") / (1 + F.length("part") + F.length("w_part"))
+    best = fine.groupBy("low").agg(F.max_by("word", F.struct(likely, "word")).alias("word"))
     out = t.join(best, "low", "left").where(F.col("word").isNotNull() | F.col("odd") | F.col("cased"))
     return out.select("core", F.coalesce("word", F.when(F.col("cased") & ~F.col("odd"), F.col("low"))).alias("word"))
 
